@@ -6,6 +6,8 @@ import random
 from collections.abc import Callable
 from contextlib import contextmanager
 
+import numpy as np
+import pandas as pd
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, RandomForestClassifier
@@ -22,35 +24,43 @@ from millrace.operators.reshape import best, latest
 
 @contextmanager
 def cached(df: DataFrame):
-    """Keep training data over an iterative fit, spilling to disk."""
-    df.persist(StorageLevel.MEMORY_AND_DISK)
+    """Keep training data over an iterative fit, spilling to disk.
+
+    Data that came in fewer partitions than there are cores is spread first, so
+    that every pass of the fit uses the whole cluster.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    kept = [df.persist(StorageLevel.MEMORY_AND_DISK)]
+    if df.rdd.getNumPartitions() < cores:
+        kept.append(df.repartition(cores).persist(StorageLevel.MEMORY_AND_DISK))
     try:
-        yield df
+        yield kept[-1]
     finally:
-        df.unpersist()
+        for k in kept:
+            k.unpersist()
 
 
 def fit_logreg(train: DataFrame, rows: int | None = None, c: float = 1.0, weight: str | None = None, max_iter: int = 100):
     """Logistic regression with L2 strength 1 / (c × rows)."""
-    with cached(train):
-        est = LogisticRegression(maxIter=max_iter, regParam=1.0 / (c * (rows or train.count())))
-        return (est.setWeightCol(weight) if weight else est).fit(train)
+    with cached(train) as data:
+        est = LogisticRegression(maxIter=max_iter, regParam=1.0 / (c * (rows or data.count())))
+        return (est.setWeightCol(weight) if weight else est).fit(data)
 
 
 def fit_tree(train: DataFrame, depth: int = 5, seed: int = 42):
-    with cached(train):
-        return DecisionTreeClassifier(maxDepth=depth, seed=seed).fit(train)
+    with cached(train) as data:
+        return DecisionTreeClassifier(maxDepth=depth, seed=seed).fit(data)
 
 
 def fit_forest(train: DataFrame, trees: int = 100, depth: int | None = 10, seed: int = 42):
     """Random forest classifier; an unlimited depth means the supported maximum of 30."""
-    with cached(train):
-        return RandomForestClassifier(numTrees=trees, maxDepth=depth or 30, seed=seed).fit(train)
+    with cached(train) as data:
+        return RandomForestClassifier(numTrees=trees, maxDepth=depth or 30, seed=seed).fit(data)
 
 
 def fit_forest_reg(train: DataFrame, trees: int = 20, depth: int = 8, seed: int = 42):
-    with cached(train):
-        return RandomForestRegressor(numTrees=trees, maxDepth=depth, seed=seed).fit(train)
+    with cached(train) as data:
+        return RandomForestRegressor(numTrees=trees, maxDepth=depth, seed=seed).fit(data)
 
 
 def rmse_evaluator() -> RegressionEvaluator:
@@ -66,18 +76,18 @@ def param_grid(est, grid: dict[str, list]) -> list:
 
 def tune_tvs(est, grid: dict[str, list], train: DataFrame, evaluator=None, ratio: float = 0.8, seed: int = 42, parallelism: int = 2):
     """Grid search on one train/validation split; the fits run side by side."""
-    with cached(train):
+    with cached(train) as data:
         return TrainValidationSplit(
             estimator=est, estimatorParamMaps=param_grid(est, grid), evaluator=evaluator or rmse_evaluator(),
-            trainRatio=ratio, seed=seed, parallelism=parallelism).fit(train)
+            trainRatio=ratio, seed=seed, parallelism=parallelism).fit(data)
 
 
 def tune_cv(est, grid: dict[str, list], train: DataFrame, evaluator=None, folds: int = 3, seed: int = 42, parallelism: int = 2):
     """Grid search by k-fold cross-validation."""
-    with cached(train):
+    with cached(train) as data:
         return CrossValidator(
             estimator=est, estimatorParamMaps=param_grid(est, grid), evaluator=evaluator or rmse_evaluator(),
-            numFolds=folds, seed=seed, parallelism=parallelism).fit(train)
+            numFolds=folds, seed=seed, parallelism=parallelism).fit(data)
 
 
 def tuning_table(spark: SparkSession, model, grid: dict[str, list], est) -> DataFrame:
@@ -111,8 +121,8 @@ def refit(est, trials: DataFrame, params: list[str], train: DataFrame):
     """Fit the estimator on all training rows with the parameters of the best trial."""
     row = trials.orderBy("rmse", "trial").first()
     chosen = {est.getParam(p): row[p] for p in params}
-    with cached(train):
-        return est.copy(chosen).fit(train)
+    with cached(train) as data:
+        return est.copy(chosen).fit(data)
 
 
 def importances(spark: SparkSession, model, names: list[str], n: int | None = None) -> DataFrame:
@@ -175,13 +185,9 @@ def linear_score_udf(model, spark: SparkSession):
     shared = spark.sparkContext.broadcast(
         (model.coefficients.toArray(), float(model.intercept), float(model.getThreshold())))
 
-    def predict(frame):
-        import numpy as np
-        import pandas as pd
-
+    def predict(frame: pd.DataFrame) -> pd.Series:
         w, b, threshold = shared.value
         p = 1.0 / (1.0 + np.exp(-(frame.to_numpy(dtype=float) @ w + b)))
         return pd.Series((p > threshold).astype(float))
 
-    from pyspark.sql.pandas.functions import PandasUDFType
-    return F.pandas_udf(predict, "double", PandasUDFType.SCALAR)
+    return F.pandas_udf(predict, "double")

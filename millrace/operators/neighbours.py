@@ -65,17 +65,31 @@ def _best_k():
     return best_k
 
 
-def _vectors(df: DataFrame, key: str, vec: str, metric: str) -> DataFrame:
-    """(id, v) in double, scaled to length 1 for cosine, without null or zero vectors."""
-    v = F.transform(F.col(vec), lambda x: x.cast("double"))
-    df = df.filter(F.col(vec).isNotNull()).select(F.col(key).cast("long").alias("id"), v.alias("v"))
-    if metric != "cosine":
-        return df
-    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
-    return (
-        df.withColumn("_norm", norm).filter("_norm > 0")
-        .select("id", F.transform("v", lambda x: x / F.col("_norm")).alias("v"))
-    )
+def _matrix():
+    """Reader of an Arrow batch as (ids, double matrix), returned as a closure."""
+
+    def matrix(batch, metric):
+        """Rows in double, of length 1 for cosine, without null or zero vectors."""
+        import numpy as np
+        import pyarrow as pa
+
+        v = batch.column("v")
+        v = v.combine_chunks() if isinstance(v, pa.ChunkedArray) else v
+        ids = batch.column("id").to_numpy()
+        if not len(ids):
+            return ids, np.empty((0, 0))
+        x = v.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(ids), -1)
+        if metric == "cosine":
+            norm = np.sqrt((x * x).sum(1))
+            ids, x = ids[norm > 0], x[norm > 0] / norm[norm > 0][:, None]
+        return ids, x
+
+    return matrix
+
+
+def _vectors(df: DataFrame, key: str, vec: str) -> DataFrame:
+    """(id, v) without null vectors."""
+    return df.select(F.col(key).cast("long").alias("id"), F.col(vec).alias("v")).filter(F.col("v").isNotNull())
 
 
 def _merge(hits: DataFrame, k: int) -> DataFrame:
@@ -87,16 +101,11 @@ def _merge(hits: DataFrame, k: int) -> DataFrame:
 HITS = "query_id long, neighbour_id long, score double"
 
 
-def _small_side(q: DataFrame, x: DataFrame, k: int, metric: str, exclude_self: bool) -> DataFrame:
+def _small_side(q: DataFrame, x: DataFrame, k: int, metric: str) -> DataFrame:
     """All queries as one broadcast matrix; one pass over the base vectors."""
-    import numpy as np
-
-    rows = q.orderBy("id").toArrow()
-    ids = rows.column("id").to_numpy()
-    mat = np.array(rows.column("v").to_pylist(), dtype=float).reshape(len(ids), -1)
-    shared = q.sparkSession.sparkContext.broadcast((ids, mat))
-    best_k = _best_k()
-    want = k + 1 if exclude_self else k
+    best_k, matrix = _best_k(), _matrix()
+    shared = q.sparkSession.sparkContext.broadcast(matrix(q.toArrow(), metric))
+    block = BLOCK_QUERY
 
     def search(batches: Iterator) -> Iterator:
         import numpy as np
@@ -104,58 +113,79 @@ def _small_side(q: DataFrame, x: DataFrame, k: int, metric: str, exclude_self: b
         import pyarrow as pa
 
         q_ids, q_mat = shared.value
-        held = None
+        best = lambda t: t.sort_values(
+            ["query_id", "score", "neighbour_id"], ascending=[True, False, True]).groupby("query_id", sort=False).head(k)
+        held = pd.DataFrame({
+            "query_id": np.array([], "int64"), "neighbour_id": np.array([], "int64"), "score": np.array([], float)})
         for batch in batches:
-            if not batch.num_rows or not len(q_ids):
+            x_ids, x_mat = matrix(batch, metric)
+            if not len(x_ids):
                 continue
-            x_ids = batch.column("id").to_numpy()
-            x_mat = batch.column("v").flatten().to_numpy().reshape(len(x_ids), -1)
-            for at in range(0, len(q_ids), BLOCK):
-                part = slice(at, at + BLOCK)
-                hit = best_k(q_mat[part], q_ids[part], x_mat, x_ids, want, metric)
-                frame = pd.DataFrame(dict(zip(("query_id", "neighbour_id", "score"), hit)))
-                held = frame if held is None else pd.concat([held, frame])
-            if len(held) > 4 * want * len(q_ids):
-                held = held.sort_values(["query_id", "score", "neighbour_id"], ascending=[True, False, True])
-                held = held.groupby("query_id", sort=False).head(want)
-        if held is not None:
-            held = held.sort_values(["query_id", "score", "neighbour_id"], ascending=[True, False, True])
-            held = held.groupby("query_id", sort=False).head(want)
-            yield pa.RecordBatch.from_pandas(held, preserve_index=False)
-
-    BLOCK = BLOCK_QUERY
+            for at in range(0, len(q_ids), block):
+                part = slice(at, at + block)
+                hit = best_k(q_mat[part], q_ids[part], x_mat, x_ids, k, metric)
+                held = pd.concat([held, pd.DataFrame(dict(zip(held.columns, hit)))])
+            if len(held) > 4 * k * len(q_ids):
+                held = best(held)
+        yield pa.RecordBatch.from_pandas(best(held), preserve_index=False)
+
     return x.mapInArrow(search, HITS)
 
 
-def _cells(df: DataFrame, pivots, metric: str, name: str) -> DataFrame:
-    """Add the nearest pivot and the distance to it."""
+VECTORS = "id long, v array<double>, cell int"
+
+
+def _rows_of():
+    """Arrow batch of (id, v, cell) from arrays, returned as a closure."""
+
+    def rows_of(ids, x, cell, *more, names=()):
+        import numpy as np
+        import pyarrow as pa
+
+        width = x.shape[1] if len(ids) else 0
+        offsets = pa.array(np.arange(len(ids) + 1, dtype=np.int32) * width)
+        v = pa.ListArray.from_arrays(offsets, pa.array(x.ravel()))
+        cols = [pa.array(ids), v, pa.array(cell.astype(np.int32)), *map(pa.array, more)]
+        return pa.RecordBatch.from_arrays(cols, names=["id", "v", "cell", *names])
+
+    return rows_of
+
+
+def _distances():
+    """Euclidean distances between the rows of two matrices, returned as a closure."""
+
+    def distances(x, p):
+        import numpy as np
+
+        return np.sqrt(np.maximum((x * x).sum(1)[:, None] + (p * p).sum(1)[None, :] - 2 * (x @ p.T), 0))
+
+    return distances
+
+
+def _cells(df: DataFrame, pivots, metric: str) -> DataFrame:
+    """(id, v, cell, dist): every vector with its nearest pivot and the distance to it; written once."""
     shared = df.sparkSession.sparkContext.broadcast(pivots)
+    matrix, rows_of, distances = _matrix(), _rows_of(), _distances()
 
     def assign(batches: Iterator) -> Iterator:
         import numpy as np
-        import pyarrow as pa
 
-        p = shared.value
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            x = batch.column("v").flatten().to_numpy().reshape(batch.num_rows, -1)
-            d = np.sqrt(np.maximum((x * x).sum(1)[:, None] + (p * p).sum(1)[None, :] - 2 * (x @ p.T), 0))
-            cell = d.argmin(1)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("v"), pa.array(cell.astype(np.int32)),
-                 pa.array(d[np.arange(len(x)), cell])],
-                names=["id", "v", "cell", "dist"])
+            ids, x = matrix(batch, metric)
+            if len(ids):
+                d = distances(x, shared.value)
+                cell = d.argmin(1)
+                yield rows_of(ids, x, cell, d[np.arange(len(x)), cell], names=["dist"])
 
-    return materialize(df.mapInArrow(assign, "id long, v array<double>, cell int, dist double"), name)
+    return materialize(df.mapInArrow(assign, VECTORS + ", dist double"), "cells")
 
 
-def _pivots(x: DataFrame, n: int):
+def _pivots(x: DataFrame, n: int, metric: str):
     """Up to n base vectors with the smallest id hashes: a fixed-size, repeatable sample."""
     import numpy as np
 
-    rows = x.orderBy(hash32("id"), "id").limit(n).collect()
-    return np.unique(np.array([r.v for r in rows], dtype=float), axis=0)
+    _, p = _matrix()(x.orderBy(hash32("id"), "id").limit(n).toArrow(), metric)
+    return np.unique(p, axis=0)
 
 
 def _blocked(routed: DataFrame, x: DataFrame, k: int, metric: str) -> DataFrame:
@@ -180,23 +210,24 @@ def _blocked(routed: DataFrame, x: DataFrame, k: int, metric: str) -> DataFrame:
         x.join(parts, "cell").withColumn("x_part", F.pmod(shuffled, F.col("x_parts")).cast("int"))
         .select("cell", every("q_parts").alias("q_part"), "x_part", "id", "v")
     )
-    best_k = _best_k()
+    best_k, matrix = _best_k(), _matrix()
 
     def pair(q, b):
         import pyarrow as pa
 
-        if not q.num_rows or not b.num_rows:
-            return pa.table({"query_id": pa.array([], pa.int64()), "neighbour_id": pa.array([], pa.int64()),
-                             "score": pa.array([], pa.float64())})
-        mat = lambda t: t.column("v").combine_chunks().flatten().to_numpy().reshape(t.num_rows, -1)
-        hit = best_k(mat(q), q.column("id").to_numpy(), mat(b), b.column("id").to_numpy(), k, metric)
-        return pa.table(dict(zip(("query_id", "neighbour_id", "score"), hit)))
+        q_ids, q_mat = matrix(q, None)
+        b_ids, b_mat = matrix(b, None)
+        hit = ([], [], [])
+        if len(q_ids) and len(b_ids):
+            hit = best_k(q_mat, q_ids, b_mat, b_ids, k, metric)
+        kinds = {"query_id": pa.int64(), "neighbour_id": pa.int64(), "score": pa.float64()}
+        return pa.table({n: pa.array(v, t) for (n, t), v in zip(kinds.items(), hit)})
 
     keys = ["cell", "q_part", "x_part"]
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(pair, HITS)
 
 
-def _exact_routes(q: DataFrame, x: DataFrame, pivots, k: int) -> DataFrame:
+def _exact_routes(q: DataFrame, x: DataFrame, pivots, k: int, metric: str) -> DataFrame:
     """(id, v, cell) for every cell that can hold one of the k nearest of a query.
 
     Each cell gives its radius and its k smallest pivot distances (few numbers
@@ -216,25 +247,24 @@ def _exact_routes(q: DataFrame, x: DataFrame, pivots, k: int) -> DataFrame:
     near_cell = np.array([r.cell for r in near])
     near_dist = np.array([r.dist for r in near])
     shared = q.sparkSession.sparkContext.broadcast((pivots, radius, near_cell, near_dist))
+    matrix, rows_of, distances = _matrix(), _rows_of(), _distances()
 
     def route(batches: Iterator) -> Iterator:
         import numpy as np
-        import pyarrow as pa
 
         p, rad, cells, dists = shared.value
         for batch in batches:
-            if not batch.num_rows:
+            ids, v = matrix(batch, metric)
+            if not len(ids):
                 continue
-            v = batch.column("v").flatten().to_numpy().reshape(batch.num_rows, -1)
-            d = np.sqrt(np.maximum((v * v).sum(1)[:, None] + (p * p).sum(1)[None, :] - 2 * (v @ p.T), 0))
-            upper = d[:, cells] + dists[None, :]
-            kth = np.partition(upper, k - 1, axis=1)[:, k - 1] if upper.shape[1] >= k else np.full(len(v), np.inf)
+            d = distances(v, p)
+            kth = np.full(len(v), np.inf)
+            if len(cells) >= k:
+                kth = np.partition(d[:, cells] + dists[None, :], k - 1, axis=1)[:, k - 1]
             rows, cols = np.nonzero((d - rad[None, :] <= kth[:, None] + 1e-6) & (rad >= 0)[None, :])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id").take(pa.array(rows)), batch.column("v").take(pa.array(rows)),
-                 pa.array(cols.astype(np.int32))], names=["id", "v", "cell"])
+            yield rows_of(ids[rows], v[rows], cols)
 
-    return q.mapInArrow(route, "id long, v array<double>, cell int")
+    return q.mapInArrow(route, VECTORS)
 
 
 def knn(
@@ -248,15 +278,16 @@ def knn(
     base: cells that the triangle inequality rules out for a query are skipped,
     the others are scored in bounded blocks.
     """
-    q, x = _vectors(queries, q_id, q_vec, metric), _vectors(base, b_id, b_vec, metric)
+    q = materialize(_vectors(queries, q_id, q_vec), "queries")
+    x = _vectors(base, b_id, b_vec)
     volume = q.agg(F.coalesce(F.sum(F.size("v") * 8 + 8), F.lit(0))).first()[0]
     want = k + 1 if exclude_self else k
     if volume <= broadcast_bytes:
-        hits = _small_side(q, x, k, metric, exclude_self)
+        hits = _small_side(q, x, want, metric)
     else:
-        pivots = _pivots(x, cells)
-        x = _cells(x, pivots, metric, "cells")
-        routed = materialize(_exact_routes(q, x, pivots, want), "routes")
+        pivots = _pivots(x, cells, metric)
+        x = _cells(x, pivots, metric)
+        routed = materialize(_exact_routes(q, x, pivots, want, metric), "routes")
         hits = _blocked(routed, x.drop("dist"), want, metric)
     if exclude_self:
         hits = hits.filter("query_id <> neighbour_id")
@@ -272,29 +303,23 @@ def ann(
     The base is cut into cells around sampled pivots; work per query is about
     probes / cells of an exact search.
     """
-    q, x = _vectors(queries, q_id, q_vec, metric), _vectors(base, b_id, b_vec, metric)
-    pivots = _pivots(x, cells)
-    x = _cells(x, pivots, metric, "cells")
+    q, x = _vectors(queries, q_id, q_vec), _vectors(base, b_id, b_vec)
+    pivots = _pivots(x, cells, metric)
+    x = _cells(x, pivots, metric)
     shared = q.sparkSession.sparkContext.broadcast(pivots)
+    matrix, rows_of, distances = _matrix(), _rows_of(), _distances()
 
     def route(batches: Iterator) -> Iterator:
         import numpy as np
-        import pyarrow as pa
 
-        p = shared.value
-        n = min(probes, len(p))
+        n = min(probes, len(shared.value))
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            v = batch.column("v").flatten().to_numpy().reshape(batch.num_rows, -1)
-            d = (p * p).sum(1)[None, :] - 2 * (v @ p.T)
-            cols = np.argsort(d, axis=1)[:, :n].ravel()
-            rows = pa.array(np.repeat(np.arange(len(v)), n))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id").take(rows), batch.column("v").take(rows), pa.array(cols.astype(np.int32))],
-                names=["id", "v", "cell"])
-
-    routed = materialize(q.mapInArrow(route, "id long, v array<double>, cell int"), "routes")
+            ids, v = matrix(batch, metric)
+            if len(ids):
+                nearest = np.argsort(distances(v, shared.value), axis=1)[:, :n].ravel()
+                yield rows_of(np.repeat(ids, n), np.repeat(v, n, axis=0), nearest)
+
+    routed = materialize(q.mapInArrow(route, VECTORS), "routes")
     hits = _blocked(routed, x.drop("dist"), k + 1 if exclude_self else k, metric)
     if exclude_self:
         hits = hits.filter("query_id <> neighbour_id")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -194,26 +195,50 @@ def _corr(a: str, b: str) -> Column:
     return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
 
-def corr_matrix(df: DataFrame, cols: list[str], absolute: bool = False, pairs_per_pass: int = 200) -> DataFrame:
-    """Pearson r of every column pair, i after j, in long form.
+def corr_matrix(df: DataFrame, cols: list[str], absolute: bool = False) -> DataFrame:
+    """Pearson r of every column pair, ``col_i`` after ``col_j``, in long form.
 
-    All pairs are plain aggregates; wide sets are cut into several passes to
-    keep each aggregate small enough for generated code.
+    Each pair uses the rows where both are known; r is null when a side is
+    constant there. Columns are first brought to mean 0 and deviation 1; then
+    every task adds up its cross products as small matrices and emits one row of
+    sums per pair, whatever its number of rows.
     """
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i)]
-    passes = []
-    for at in range(0, len(pairs), pairs_per_pass):
-        part = pairs[at:at + pairs_per_pass]
-        names = [f"{i},{j}" for i, j in part]
-        wide = df.agg(*[_corr(cols[i], cols[j]).alias(n) for (i, j), n in zip(part, names)])
-        passes.append(wide.unpivot([], names, "pair", "r"))
-    long = passes[0]
-    for p in passes[1:]:
-        long = long.unionByName(p)
+    d = len(cols)
+    row = df.agg(
+        *[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)],
+        *[F.stddev_pop(F.col(c).cast("double")).alias(f"s{i}") for i, c in enumerate(cols)]).first()
+    scaled = df.select([
+        ((F.col(c).cast("double") - F.lit(row[f"m{i}"])) / F.lit(row[f"s{i}"] or 1.0)).alias(str(i))
+        for i, c in enumerate(cols)])
+
+    def cross(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        total = np.zeros((4, d, d))
+        for batch in batches:
+            x = np.column_stack([batch.column(k).to_numpy(zero_copy_only=False) for k in range(d)])
+            known = ~np.isnan(x)
+            x, m = np.where(known, x, 0.0), known.astype(float)
+            total += np.stack([m.T @ m, x.T @ m, (x * x).T @ m, x.T @ x])
+        i, j = np.tril_indices(d, -1)
+        n, s, ss, sp = total
+        values = [n[i, j], s[i, j], s[j, i], ss[i, j], ss[j, i], sp[i, j]]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(i.astype("int32")), pa.array(j.astype("int32")), *map(pa.array, values)],
+            names=["i", "j", "n", "x", "y", "xx", "yy", "xy"])
+
+    sums = scaled.mapInArrow(
+        cross, "i int, j int, n double, x double, y double, xx double, yy double, xy double"
+    ).groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "x", "y", "xx", "yy", "xy")])
+    var = lambda square, total: F.col(square) - F.try_divide(F.col(total) * F.col(total), "n")
+    spread = F.sqrt(F.greatest(var("xx", "x"), F.lit(0.0))) * F.sqrt(F.greatest(var("yy", "y"), F.lit(0.0)))
+    # On scaled columns anything this small is rounding, so that side is constant.
+    r = F.when(spread > 1e-9 * F.col("n"), (F.col("xy") - F.col("x") * F.col("y") / F.col("n")) / spread)
     names = F.array(*[F.lit(c) for c in cols])
-    at = lambda k: F.get(names, F.split("pair", ",")[k].cast("int"))
-    r = F.abs("r") if absolute else F.col("r")
-    return long.select(at(0).alias("col_i"), at(1).alias("col_j"), r.alias("r"))
+    return sums.select(
+        F.get(names, "i").alias("col_i"), F.get(names, "j").alias("col_j"),
+        (F.abs(r) if absolute else r).alias("r"))
 
 
 def corr_with(df: DataFrame, target: str, cols: list[str]) -> DataFrame:

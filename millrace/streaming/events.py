@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from millrace.session import scratch_path
@@ -91,6 +92,11 @@ def stream_funnel(events: DataFrame) -> DataFrame:
     )
 
 
+def with_epoch(schema: T.StructType) -> T.StructType:
+    """The schema of micro-batch folders: the batch columns and the folder number."""
+    return T.StructType([*schema.fields, T.StructField("epoch", T.IntegerType())])
+
+
 def run_to_table(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
     """Drain the available input into a new folder of the shared directory and read it back.
 
@@ -109,4 +115,4 @@ def run_to_table(stream: DataFrame, name: str, mode: str = "append") -> DataFram
         .trigger(availableNow=True).start()
     )
     query.awaitTermination()
-    return spark.read.schema(stream.schema.add("epoch", "int")).parquet(out)
+    return spark.read.schema(with_epoch(stream.schema)).parquet(out)

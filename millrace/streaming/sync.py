@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.session import scratch_path
+from millrace.streaming.events import with_epoch
 
 
 def sync_index(
@@ -35,7 +36,7 @@ def sync_index(
 
 def read_index(spark: SparkSession, target: str, schema, keys: list[str]) -> DataFrame:
     """The newest row per key over all batches."""
-    rows = spark.read.schema(schema.add("epoch", "int")).parquet(target)
+    rows = spark.read.schema(with_epoch(schema)).parquet(target)
     cols = [c for c in rows.columns if c != "epoch"]
     newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*cols), F.col("epoch")).alias("_row"))
     return newest.select("_row.*")
