@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 from millrace.functions.hashing import hash_below
 from millrace.operators.profile import corr_matrix
 from millrace.operators.ranking import running_total
+from millrace.session import materialize
+
+
+MAP_DOMAIN = 256
 
 
 def label_codes(df: DataFrame, c: str, buckets: int = 64) -> DataFrame:
@@ -20,8 +24,18 @@ def label_codes(df: DataFrame, c: str, buckets: int = 64) -> DataFrame:
 
 
 def label_encode(df: DataFrame, c: str, out: str | None = None, buckets: int = 64) -> DataFrame:
-    """Replace (or add as ``out``) the sorted-order code of a column; null stays null."""
-    codes = label_codes(df, c, buckets).withColumnsRenamed({c: "_value", "code": "_code"})
+    """Replace (or add as ``out``) the sorted-order code of a column; null stays null.
+
+    A domain measured to be small becomes a literal map, with no join. A larger
+    one is numbered as a distributed table and joined.
+    """
+    found = df.select(c).filter(F.col(c).isNotNull()).distinct().limit(MAP_DOMAIN + 1).collect()
+    if len(found) <= MAP_DOMAIN:
+        pairs = [F.lit(x) for i, v in enumerate(sorted(r[0] for r in found)) for x in (v, i)]
+        code = F.try_element_at(F.create_map(*pairs), F.col(c)) if pairs else F.lit(None)
+        return df.withColumn(out or c, code.cast("long"))
+    # Stored, so that Spark knows its true size and broadcasts it only when it is small.
+    codes = materialize(label_codes(df, c, buckets).withColumnsRenamed({c: "_value", "code": "_code"}), "codes")
     joined = df.join(codes, F.col(c) == F.col("_value"), "left")
     return joined.withColumn(out or c, F.col("_code")).drop("_value", "_code")
 
@@ -129,6 +143,13 @@ def balanced_weights(df: DataFrame, label: str) -> DataFrame:
 
 
 def with_class_weight(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
-    """Add the balanced class weight to every row."""
-    weights = balanced_weights(df, label).select(label, F.col("weight").alias(name))
-    return df.join(weights, label)
+    """Add the balanced class weight to every labelled row.
+
+    The weights of up to 1000 classes become a literal map: a class of half the
+    rows then costs no shuffle.
+    """
+    rows = balanced_weights(df, label).limit(1001).collect()
+    if len(rows) > 1000:
+        raise ValueError(f"{label} has more than 1000 classes")
+    weights = F.create_map(*[F.lit(v) for r in rows for v in (r[label], r["weight"])])
+    return df.withColumn(name, F.try_element_at(weights, F.col(label))).filter(F.col(name).isNotNull())

@@ -22,7 +22,7 @@ def sessionize(
     us = F.unix_micros(F.col(ts).cast("timestamp"))
     gap = gap_seconds * 1_000_000
     buckets = events.filter(F.col(ts).isNotNull() & F.col(user).isNotNull()).groupBy(
-        F.col(user).alias("user_id"), F.floor(us / gap).alias("_bucket")
+        F.col(user).alias("user_id"), (us - F.pmod(us, F.lit(gap))).alias("_bucket")
     ).agg(
         F.min(ts).alias("_first"), F.max(ts).alias("_last"), F.min(us).alias("_us0"), F.max(us).alias("_us1"),
         F.count("*").alias("_n"), F.max(F.col(event) == goal).alias("_goal"),

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.ranking import running_total
+from millrace.session import materialize
 
 
 def accuracy(df: DataFrame, label: str = "label", pred: str = "prediction") -> DataFrame:
@@ -81,13 +82,12 @@ def _score_steps(df: DataFrame, label: str, score: str, buckets: int) -> DataFra
     are made range by range (see ``ranking``). ``P`` and ``N`` are the totals.
     """
     known = df.dropna(subset=[label, score])
-    steps = known.groupBy((-F.col(score).cast("double")).alias("_order")).agg(
-        F.count_if(F.col(label) == 1).alias("tp"), F.count_if(F.col(label) != 1).alias("fp"))
-    run = running_total(steps, "_order", ["tp", "fp"], buckets=buckets)
-    totals = known.agg(F.count_if(F.col(label) == 1).alias("P"), F.count_if(F.col(label) != 1).alias("N"))
+    steps = materialize(known.groupBy((-F.col(score).cast("double")).alias("_order")).agg(
+        F.count_if(F.col(label) == 1).alias("tp"), F.count_if(F.col(label) != 1).alias("fp")), "steps")
+    p, n = steps.agg(F.sum("tp"), F.sum("fp")).first()
+    run = running_total(steps, "_order", ["tp", "fp"], buckets=buckets, stored=True)
     return run.withColumns({
-        "score": -F.col("_order"), "P": totals.select("P").scalar(), "N": totals.select("N").scalar(),
-    })
+        "score": -F.col("_order"), "P": F.lit(p).cast("long"), "N": F.lit(n).cast("long")})
 
 
 def roc_points(df: DataFrame, label: str = "label", score: str = "score", buckets: int = 64) -> DataFrame:

@@ -115,8 +115,8 @@ def _small_side(q: DataFrame, x: DataFrame, k: int, metric: str) -> DataFrame:
         q_ids, q_mat = shared.value
         best = lambda t: t.sort_values(
             ["query_id", "score", "neighbour_id"], ascending=[True, False, True]).groupby("query_id", sort=False).head(k)
-        held = pd.DataFrame({
-            "query_id": np.array([], "int64"), "neighbour_id": np.array([], "int64"), "score": np.array([], float)})
+        held, rows = [pd.DataFrame({
+            "query_id": np.array([], "int64"), "neighbour_id": np.array([], "int64"), "score": np.array([], float)})], 0
         for batch in batches:
             x_ids, x_mat = matrix(batch, metric)
             if not len(x_ids):
@@ -124,10 +124,12 @@ def _small_side(q: DataFrame, x: DataFrame, k: int, metric: str) -> DataFrame:
             for at in range(0, len(q_ids), block):
                 part = slice(at, at + block)
                 hit = best_k(q_mat[part], q_ids[part], x_mat, x_ids, k, metric)
-                held = pd.concat([held, pd.DataFrame(dict(zip(held.columns, hit)))])
-            if len(held) > 4 * k * len(q_ids):
-                held = best(held)
-        yield pa.RecordBatch.from_pandas(best(held), preserve_index=False)
+                held.append(pd.DataFrame(dict(zip(held[0].columns, hit))))
+                rows += len(hit[0])
+            if rows > 4 * k * len(q_ids):
+                held = [best(pd.concat(held))]
+                rows = len(held[0])
+        yield pa.RecordBatch.from_pandas(best(pd.concat(held)), preserve_index=False)
 
     return x.mapInArrow(search, HITS)
 

@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,6 +39,11 @@ def chunk(
     )
 
 
+def _once(fn: Callable, kind: T.DataType):
+    """Pandas function that Spark does not copy into pushed-down filters, so every row is computed once."""
+    return F.pandas_udf(fn, kind).asNondeterministic()
+
+
 def chunk_sentences(
     df: DataFrame, text: str, size: int = 500, overlap: int = 50, min_chars: int = 100, out: str = "content",
 ) -> DataFrame:
@@ -76,7 +81,7 @@ def chunk_sentences(
             yield pd.Series([
                 [c for c in one(b) if len(c) > min_chars] if b else [] for b in bodies])
 
-    pack_udf = F.pandas_udf(pack, T.ArrayType(T.StringType()))
+    pack_udf = _once(pack, T.ArrayType(T.StringType()))
     keep = [c for c in df.columns if c != text]
     return (
         df.withColumn("_chunks", pack_udf(clean_text(F.col(text))))
@@ -103,7 +108,7 @@ def embed(df: DataFrame, text: str, dim: int = 1024, fn: Callable | None = None,
                     rows = [[0.0] * dim for _ in texts]
                 yield pd.Series(rows)
 
-        call_udf = F.pandas_udf(call, T.ArrayType(T.FloatType()))
+        call_udf = _once(call, T.ArrayType(T.FloatType()))
         return df.withColumn(out, call_udf(F.col(text)))
 
     def add_up(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -119,7 +124,7 @@ def embed(df: DataFrame, text: str, dim: int = 1024, fn: Callable | None = None,
                 rows.append(v.astype(np.float32))
             yield pd.Series(rows)
 
-    add_udf = F.pandas_udf(add_up, T.ArrayType(T.FloatType()))
+    add_udf = _once(add_up, T.ArrayType(T.FloatType()))
     return df.withColumn(out, add_udf(F.transform(tokens(F.lower(F.col(text))), lambda t: hash32(t))))
 
 

@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from millrace.functions.scalars import month_no, pct_to_double, yes_no
 from millrace.operators import features as M
 from millrace.operators import metrics as E
 from millrace.operators import models as ML
 from millrace.operators import relational as J
 from millrace.operators.medallion import cohort_by_period, diagnose
-from millrace.operators.reshape import select_features, trend
+from millrace.operators.reshape import one_hot, ranked, trend
 from millrace.plans.q_profile import CORR, rounded
 from millrace.plans.registry import query
 from millrace.plans.views import (
     BK, CP, KEY, LN, PL, QL, RUNS, SS, TX, bookings, loans, planted, profiles, quality, runs, sessions, table, trips,
 )
+from millrace.session import materialize
 
 HASH = "('0x' || substr(md5({}), 1, 8))::BIGINT"
 
@@ -122,8 +125,6 @@ def _indexed(spark, sf):
 WITH {TX}, d AS (SELECT payment_type, row_number() OVER (ORDER BY count(*) DESC, payment_type) - 1 AS i FROM tx GROUP BY 1)
 SELECT trip_id, i::INTEGER AS hot, 1.0::DOUBLE AS total, (SELECT count(*) FROM d)::INTEGER + 1 AS width FROM tx JOIN d USING (payment_type)""")
 def m_03(spark, sf):
-    from pyspark.ml.functions import vector_to_array
-
     df = _indexed(spark, sf)
     encoder = M.encode_categories(df, ["payment_type_index", "location_index"])
     v = vector_to_array("payment_type_index_vec")
@@ -132,7 +133,7 @@ def m_03(spark, sf):
         F.aggregate(v, F.lit(0.0), lambda a, x: a + x).alias("total"), F.size(v).alias("width"))
 
 
-def _features(spark, sf, scale: bool = False):
+def _features(spark, sf):
     """(trip_id, features, label): distance, hour and categories; the label is the fare."""
     df = _indexed(spark, sf).withColumn("hour", F.hour("pickup").cast("double"))
     df = M.encode_categories(df, ["payment_type_index", "location_index"]).transform(df)
@@ -143,8 +144,6 @@ def _features(spark, sf, scale: bool = False):
 @query("m_04_assemble", f"""
 WITH {TX} SELECT trip_id, distance AS f0, hour(pickup)::DOUBLE AS f1, 2 AS width FROM tx WHERE distance IS NOT NULL""")
 def m_04(spark, sf):
-    from pyspark.ml.functions import vector_to_array
-
     tx = trips(spark, sf).withColumn("hour", F.hour("pickup"))
     v = vector_to_array("features")
     return M.assemble(tx, ["distance", "hour"]).select("trip_id", v[0].alias("f0"), v[1].alias("f1"), F.size(v).alias("width"))
@@ -154,8 +153,6 @@ def m_04(spark, sf):
 WITH {TX}, w AS (SELECT 2 + count(DISTINCT payment_type) + 1 + count(DISTINCT location) + 1 AS width FROM tx)
 SELECT trip_id, round(fare, 4) AS label, (SELECT width FROM w)::INTEGER AS width FROM tx WHERE distance IS NOT NULL""")
 def m_05(spark, sf):
-    from pyspark.ml.functions import vector_to_array
-
     return _features(spark, sf).select(
         "trip_id", F.round("label", 4).alias("label"), F.size(vector_to_array("features")).alias("width"))
 
@@ -164,8 +161,6 @@ def m_05(spark, sf):
 WITH {LN}, r AS (SELECT loan_id, try_cast(replace(trim(int_rate), '%', '') AS DOUBLE) AS rate, dti FROM ln)
 SELECT loan_id, round(coalesce(rate, (SELECT avg(rate) FROM r)), 6) AS rate, round(coalesce(dti::DOUBLE, (SELECT avg(dti) FROM r)), 6) AS dti FROM r""")
 def m_06(spark, sf):
-    from millrace.functions.scalars import pct_to_double
-
     r = loans(spark, sf).select("loan_id", pct_to_double("int_rate").alias("rate"), "dti", F.lit(None).cast("double").alias("nothing"))
     return rounded(M.MeanImputer.fit(r, ["rate", "dti", "nothing"]).transform(r), 6)
 
@@ -202,12 +197,13 @@ def m_09(spark, sf):
 
 
 def _encoded(spark, sf):
-    """The booking table fully numeric: codes for country and hotel, 0/1 columns for the rest."""
-    from millrace.functions.scalars import month_no, yes_no
-    from millrace.operators.reshape import one_hot
+    """The booking table fully numeric: codes for country and hotel, 0/1 columns for the rest.
 
+    The joined bookings are stored first, because the encoders and the
+    correlations read them several times.
+    """
     cols = [*CORR, "is_canceled", "arrival_date_month", "country", "hotel", "deposit_type", "reservation_status"]
-    bk = bookings(spark, sf, *cols).fillna({"children": 0.0, "country": "OTHER"})
+    bk = materialize(bookings(spark, sf, *cols), "bookings").fillna({"children": 0.0, "country": "OTHER"})
     bk = bk.withColumns({"is_canceled": yes_no("is_canceled"), "arrival_date_month": month_no("arrival_date_month")})
     for c in ("country", "hotel"):
         bk = M.label_encode(bk, c)
@@ -247,8 +243,6 @@ def m_11(spark, sf):
 WITH {RUNS} SELECT name, version, accuracy, rank FROM (
   SELECT *, row_number() OVER (PARTITION BY name ORDER BY accuracy DESC, version)::INTEGER AS rank FROM runs) WHERE rank <= 3""")
 def m_22(spark, sf):
-    from millrace.operators.reshape import ranked
-
     return ranked(runs(spark, sf).select("name", "version", "accuracy"), "name", "accuracy", "version", k=3)
 
 

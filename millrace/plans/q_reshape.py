@@ -6,11 +6,10 @@ from pyspark.sql import functions as F
 
 from millrace.functions.scalars import tokens
 from millrace.operators import reshape as R
-from millrace.operators.features import StandardScale
 from millrace.operators.models import leaderboard
-from millrace.plans.q_profile import CORR, NARROW, VAR, rounded
+from millrace.plans.q_profile import NARROW, VAR
 from millrace.plans.registry import query
-from millrace.plans.views import BK, CP, KEY, RUNS, TX, bookings, profiles, runs, table, trips
+from millrace.plans.views import BK, CP, KEY, RUNS, TX, bookings, profiles, runs, table, texts, trips
 
 
 @query("o_01_sort_by_month", f"""
@@ -125,6 +124,6 @@ WITH w AS (SELECT doc_id, list_filter(string_split(trim(regexp_replace(text, '[\
 e AS (SELECT doc_id, unnest(words) AS word, unnest(range(0, len(words))) AS pos FROM w)
 SELECT word, count(*) AS n, min(pos)::INTEGER AS first_pos FROM e GROUP BY 1""")
 def r_03(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", tokens("text").alias("words"))
+    docs = texts(spark, sf).select("doc_id", tokens("text").alias("words"))
     return R.explode_numbered(docs, "words", "pos", "word").groupBy("word").agg(
         F.count("*").alias("n"), F.min("pos").alias("first_pos"))

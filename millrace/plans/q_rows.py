@@ -8,7 +8,7 @@ from millrace.functions import scalars as S
 from millrace.operators import rows as R
 from millrace.operators.profile import info
 from millrace.plans.registry import query
-from millrace.plans.views import BK, KEY, LN, SS, TX, bookings, loans, sessions, table, trips
+from millrace.plans.views import BK, KEY, LN, SS, TX, bookings, loans, sessions, table, texts, trips
 
 K = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
 
@@ -183,7 +183,7 @@ SELECT doc_id, trim(regexp_replace(regexp_replace(regexp_replace(
     '={2,}.*?={2,}', '', 'g')) AS clean FROM documents""")
 def f_07(spark, sf):
     marked = F.concat(F.lit("== Head == "), "text", F.lit(" [12]\u00a0 end"))
-    return table(spark, sf, "documents").select("doc_id", S.clean_text(marked).alias("clean"))
+    return texts(spark, sf).select("doc_id", S.clean_text(marked).alias("clean"))
 
 
 @query("f_08_length", "SELECT doc_id, length(text)::INTEGER AS n FROM documents")
@@ -196,7 +196,7 @@ WITH t AS (SELECT doc_id, trim(regexp_replace(text, '[\s\x{00A0}]+', ' ', 'g'))
 SELECT doc_id, CASE WHEN length(text) <= 180 THEN text
   ELSE rtrim(regexp_extract(text, '^(.{1,179})(?: .*)?$', 1)) || '…' END AS snippet FROM t""")
 def f_09(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", S.snippet("text").alias("snippet"))
+    return texts(spark, sf).select("doc_id", S.snippet("text").alias("snippet"))
 
 
 @query("f_10_json_row", """

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from millrace.operators.rows import sanitize_columns
 from millrace.operators.text import chunk
 from millrace.plans.registry import query
-from millrace.plans.views import BK, bookings, table
+from millrace.plans.views import BK, bookings, table, texts
 from millrace.session import scratch_path
 from millrace.sources import tables as io
 from millrace.sources.articles import ingest_articles
@@ -122,7 +122,7 @@ SELECT lang, (2 * count(*))::BIGINT AS n, (2 * sum(length(content)))::BIGINT AS
 def s_09(spark, sf):
     name = f"{scratch_schema(spark)}.chunks"
     schema = T.StructType.fromDDL("doc_id bigint, lang string, chunk_no int, content string")
-    chunks = chunk(table(spark, sf, "documents").select("doc_id", "lang", "text"), "text")
+    chunks = chunk(texts(spark, sf).select("doc_id", "lang", "text"), "text")
     io.append_table(chunks, name, schema)
     io.append_table(chunks.select("content", "chunk_no", "lang", "doc_id"), name, schema)
     return io.read_table(spark, name).groupBy("lang").agg(
@@ -235,4 +235,4 @@ decoded AS (
 SELECT page_id, title, content, url, length(content)::BIGINT AS content_length FROM decoded
 WHERE title <> '' AND content <> '' QUALIFY row_number() OVER (PARTITION BY title ORDER BY page_id) = 1""")
 def s_17(spark, sf):
-    return ingest_articles(table(spark, sf, "pages")).drop("fetch_time")
+    return ingest_articles(texts(spark, sf, "pages")).drop("fetch_time")

@@ -10,7 +10,7 @@ from millrace.operators.features import split
 from millrace.operators.reshape import ranked
 from millrace.plans.q_sources import DOC_CHUNKS, scratch_schema
 from millrace.plans.registry import query
-from millrace.plans.views import table
+from millrace.plans.views import table, texts
 
 # Lower-cased whitespace tokens per document and per question.
 TOKENS = r"""dtok AS (SELECT doc_id, list_filter(string_split(trim(regexp_replace(lower(text), '[\s\x{00A0}]+', ' ', 'g')), ' '), lambda t: t <> '') AS w FROM documents),
@@ -25,18 +25,18 @@ EMBEDDED = f"{TOKENS}, {HASHED.format('d', 'doc_id')}, {HASHED.format('q', 'item
 
 @query("x_02_chunk", f"WITH {DOC_CHUNKS} SELECT doc_id, chunk_no, content FROM chunks")
 def x_02(spark, sf):
-    return X.chunk(table(spark, sf, "documents").select("doc_id", "text"), "text")
+    return X.chunk(texts(spark, sf).select("doc_id", "text"), "text")
 
 
 @query("x_03_chunk_sentences")
 def x_03(spark, sf):
-    return X.chunk_sentences(table(spark, sf, "documents").select("doc_id", "text"), "text")
+    return X.chunk_sentences(texts(spark, sf).select("doc_id", "text"), "text")
 
 
 @query("x_04_embed", f"""
 WITH {EMBEDDED} SELECT id AS doc_id, b::INTEGER AS pos, round(v::FLOAT::DOUBLE, 5) AS weight FROM de""")
 def x_04(spark, sf):
-    docs = X.embed(table(spark, sf, "documents").select("doc_id", "text"), "text", DIM)
+    docs = X.embed(texts(spark, sf).select("doc_id", "text"), "text", DIM)
     return docs.select("doc_id", F.posexplode("embedding").alias("pos", "weight")).filter("weight <> 0").select(
         "doc_id", "pos", F.round(F.col("weight").cast("double"), 5).alias("weight"))
 
@@ -48,7 +48,7 @@ SELECT row_number() OVER (ORDER BY ('0x' || substr(md5(doc_id || '|' || chunk_no
   doc_id, chunk_no, length(content)::INTEGER AS chars, 1024 AS dims, 1.0::DOUBLE AS norm FROM chunks""")
 def x_05(spark, sf):
     name = f"{scratch_schema(spark)}.embeddings"
-    stored = X.build_embedding_table(table(spark, sf, "documents").select("doc_id", "text"), name, ["doc_id"], "text", DIM)
+    stored = X.build_embedding_table(texts(spark, sf).select("doc_id", "text"), name, ["doc_id"], "text", DIM)
     norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, v: a + v.cast("double") * v.cast("double")))
     return stored.select("id", "doc_id", "chunk_no", F.length("content").alias("chars"),
                          F.size("embedding").alias("dims"), F.round(norm, 4).alias("norm"))
@@ -111,7 +111,7 @@ def m_13(spark, sf):
 
 def _candidates(spark, sf):
     """The five most similar documents per question, with their texts."""
-    docs, questions = table(spark, sf, "documents"), table(spark, sf, "benchmark")
+    docs, questions = texts(spark, sf), table(spark, sf, "benchmark")
     hits = N.knn(X.embed(questions, "text", DIM), X.embed(docs.select("doc_id", "text"), "text", DIM), 5,
                  q_id="item_id", q_vec="embedding", b_id="doc_id", b_vec="embedding")
     hits = hits.select(F.col("query_id").alias("item_id"), F.col("neighbour_id").alias("doc_id"), "score", "rank")

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.medallion import sessionize
+from millrace.session import spread
 
 GAP_SECONDS = 6 * 3600
 
@@ -21,6 +22,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf: str, name: str = "documents") -> DataFrame:
+    """A table of texts, over enough partitions for work that is heavy per row."""
+    return spread(table(spark, sf, name))
+
+
 KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
 _LINE = {
