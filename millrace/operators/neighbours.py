@@ -288,6 +288,8 @@ def knn(
         hits = _small_side(q, x, want, metric)
     else:
         pivots = _pivots(x, cells, metric)
+        if not len(pivots):
+            return _merge(q.sparkSession.createDataFrame([], HITS), k)
         x = _cells(x, pivots, metric)
         routed = materialize(_exact_routes(q, x, pivots, want, metric), "routes")
         hits = _blocked(routed, x.drop("dist"), want, metric)
@@ -307,6 +309,8 @@ def ann(
     """
     q, x = _vectors(queries, q_id, q_vec), _vectors(base, b_id, b_vec)
     pivots = _pivots(x, cells, metric)
+    if not len(pivots):
+        return _merge(q.sparkSession.createDataFrame([], HITS), k)
     x = _cells(x, pivots, metric)
     shared = q.sparkSession.sparkContext.broadcast(pivots)
     matrix, rows_of, distances = _matrix(), _rows_of(), _distances()
