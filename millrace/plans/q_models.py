@@ -13,9 +13,9 @@ from millrace.operators import features as FE
 from millrace.operators import metrics as E
 from millrace.operators import models as M
 from millrace.operators.relational import score_batch
-from millrace.plans.q_features import _features, rounded
+from millrace.plans.q_features import LINE_HASH, SPLIT, _features, rounded
 from millrace.plans.registry import query
-from millrace.plans.views import KEY, planted
+from millrace.plans.views import KEY, TX, planted
 from millrace.session import scratch_path
 
 LABEL_FEATURES = ["l_quantity", "line", "l_extendedprice", "l_discount"]
@@ -112,7 +112,8 @@ def m_21(spark, sf):
     return rounded(M.importances(spark, M.fit_forest(train, trees=20, depth=5), LABEL_FEATURES, 3))
 
 
-@query("m_24_save_load")
+@query("m_24_save_load", f"""
+WITH {TX} SELECT count(*) AS n, 0::BIGINT AS different FROM tx WHERE distance IS NOT NULL AND NOT {SPLIT} < 3435973836""")
 def m_24(spark, sf):
     train, test = _fares(spark, sf)
     model = M.fit_forest_reg(train, trees=5, depth=5)
@@ -124,7 +125,8 @@ def m_24(spark, sf):
         F.count("*").alias("n"), F.count_if(F.col("before") != F.col("after")).alias("different"))
 
 
-@query("m_25_score")
+@query("m_25_score", f"""
+SELECT count(*) AS n, 0::BIGINT AS different FROM lineitem WHERE NOT {LINE_HASH} < 3435973836""")
 def m_25(spark, sf):
     """Scores by the fitted model itself and by the broadcast-coefficients function, compared."""
     train, test = _labelled(spark, sf)
@@ -132,14 +134,18 @@ def m_25(spark, sf):
     both = M.score(test, model, KEY, probability=True).withColumnRenamed("prediction", "by_model")
     udf = M.linear_score_udf(model, spark)
     rows = planted(spark, sf).select(*KEY, udf(F.struct(*LABEL_FEATURES)).alias("by_function")).dropDuplicates(KEY)
-    return both.join(rows, KEY).groupBy("by_model", "by_function").agg(F.count("*").alias("n"))
+    return both.join(rows, KEY).agg(
+        F.count("*").alias("n"), F.count_if(F.col("by_model") != F.col("by_function")).alias("different"))
 
 
-@query("j_06_score_batch")
+@query("j_06_score_batch", f"""
+SELECT count(*) AS n, 0::BIGINT AS unscored, 2::BIGINT AS classes FROM lineitem WHERE NOT {LINE_HASH} < 3435973836""")
 def j_06(spark, sf):
     train, _ = _labelled(spark, sf)
     model = M.fit_tree(train)
     _, test = FE.split(planted(spark, sf), KEY, 0.8)
     lookup = FE.assemble(planted(spark, sf).dropDuplicates(KEY), LABEL_FEATURES)
     scored = score_batch(model, test.select(*KEY), [(lookup, KEY, ["features"])])
-    return scored.groupBy("prediction").agg(F.count("*").alias("n"))
+    return scored.agg(
+        F.count("*").alias("n"), F.count_if(F.col("prediction").isNull()).alias("unscored"),
+        F.count_distinct("prediction").alias("classes"))

@@ -88,7 +88,14 @@ def j_07_partitioned(spark, sf):
                  exclude_self=True, broadcast_bytes=0, cells=16).withColumn("score", F.round("score", 6))
 
 
-@query("j_08_ann")
+@query("j_08_ann", f"""
+WITH pivots AS (SELECT vec_id, embedding FROM embeddings ORDER BY ('0x' || substr(md5(vec_id::VARCHAR), 1, 8))::BIGINT, vec_id LIMIT 16),
+near AS (SELECT a.vec_id, b.vec_id AS pivot, row_number() OVER (PARTITION BY a.vec_id ORDER BY {COS} DESC) AS place FROM embeddings a, pivots b),
+s AS (SELECT a.vec_id AS query_id, b.vec_id AS neighbour_id, round({COS}, 9) AS score
+  FROM near probe JOIN near cell ON probe.pivot = cell.pivot AND probe.place <= 6 AND cell.place = 1 AND probe.vec_id <> cell.vec_id
+  JOIN embeddings a ON a.vec_id = probe.vec_id JOIN embeddings b ON b.vec_id = cell.vec_id)
+SELECT query_id, neighbour_id, round(score, 6) AS score, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, neighbour_id)::INTEGER AS rank FROM s) WHERE rank <= 5""")
 def j_08(spark, sf):
     base = table(spark, sf, "embeddings")
     return N.ann(base, base, 5, q_id="vec_id", q_vec="embedding", b_id="vec_id", b_vec="embedding",

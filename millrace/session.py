@@ -32,9 +32,19 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/millrace/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unused path in the shared folder."""
-    return f"{shared_dir(spark)}/millrace/{name}-{uuid.uuid4().hex[:12]}"
+    """A new, unused path in this application's part of the shared folder."""
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def clear_scratch(spark: SparkSession) -> bool:
+    """Delete this application's intermediates, once no frame needs them any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
