@@ -110,5 +110,10 @@ def one_hot(df: DataFrame, cols: list[str], limit: int = 1000) -> DataFrame:
 
 
 def explode_numbered(df: DataFrame, c: str, pos: str, value: str) -> DataFrame:
-    """One row per array element with its position from 0; rows without elements vanish."""
-    return df.select(*[x for x in df.columns if x != c], F.posexplode(c).alias(pos, value))
+    """One row per array element with its position from 0; rows without elements vanish.
+
+    The outer form with a filter behind it: for the inner form Spark adds a
+    filter that computes the array a second time.
+    """
+    keep = [x for x in df.columns if x != c]
+    return df.select(*keep, F.posexplode_outer(c).alias(pos, value)).filter(F.col(pos).isNotNull())

@@ -13,7 +13,6 @@ from pyspark.sql import types as T
 
 from millrace.functions.hashing import hash32
 from millrace.functions.scalars import clean_text, tokens
-from millrace.session import materialize
 from millrace.sources.tables import append_table, with_surrogate_id
 
 
@@ -32,9 +31,9 @@ def chunk(
     starts = F.sequence(F.lit(0), last, F.lit(step))
     windows = F.transform(starts, lambda s: F.array_join(F.slice("_words", s + 1, size), " "))
     keep = [c for c in df.columns if c != text]
+    # The outer form: for the inner one Spark adds a filter that makes all windows a second time.
     return (
-        df.withColumn("_words", words).filter(F.size("_words") > 0)
-        .select(*keep, F.posexplode(windows).alias("chunk_no", out))
+        df.withColumn("_words", words).select(*keep, F.posexplode_outer(windows).alias("chunk_no", out))
         .filter(F.length(out) > min_chars)
     )
 
@@ -85,7 +84,7 @@ def chunk_sentences(
     keep = [c for c in df.columns if c != text]
     return (
         df.withColumn("_chunks", pack_udf(clean_text(F.col(text))))
-        .select(*keep, F.posexplode("_chunks").alias("chunk_no", out))
+        .select(*keep, F.posexplode_outer("_chunks").alias("chunk_no", out)).filter(F.col(out).isNotNull())
     )
 
 
@@ -131,14 +130,13 @@ def embed(df: DataFrame, text: str, dim: int = 1024, fn: Callable | None = None,
 def build_embedding_table(docs: DataFrame, table: str, keys: list[str], text: str, dim: int = 1024) -> DataFrame:
     """Clean, chunk, embed and store (id, keys, chunk_no, content, embedding) once; returns the table.
 
-    The embedded chunks are materialised before numbering, so nothing is
-    embedded twice.
+    The text chunks are stored and numbered where they lie; each is then
+    embedded on its way into the table. Texts and vectors cross no shuffle.
     """
     chunks = chunk(docs.withColumn(text, clean_text(F.col(text))).select(*keys, text), text)
-    stored = with_surrogate_id(materialize(embed(chunks, "content", dim), "embedded"), [*keys, "chunk_no"])
-    names = ["id", *keys, "chunk_no", "content", "embedding"]
-    stored = stored.select(*names)
-    append_table(stored, table, stored.schema)
+    embedded = embed(with_surrogate_id(chunks), "content", dim)
+    rows = embedded.select("id", *keys, "chunk_no", "content", "embedding")
+    append_table(rows, table, rows.schema)
     return docs.sparkSession.table(table)
 
 
@@ -149,7 +147,8 @@ def term_stats(docs: DataFrame, text: str) -> tuple[DataFrame, DataFrame]:
     the shuffle, so a word of every document is no hot key.
     """
     words = tokens(F.lower(F.col(text)))
-    freq = docs.select(F.explode(F.array_distinct(words)).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+    terms = docs.select(F.explode_outer(F.array_distinct(words)).alias("term")).filter(F.col("term").isNotNull())
+    freq = terms.groupBy("term").agg(F.count("*").alias("df"))
     size = docs.agg(F.count("*").alias("n_docs"), F.avg(F.size(words)).alias("avg_len"))
     return freq, size
 
@@ -175,12 +174,15 @@ def rerank(
     words = F.col("_words")
     tf = lambda t: F.size(F.filter(words, lambda w: w == t.term))
     scale = k1 * (1 - b + b * F.size(words) / avg_len)
+    # Only the terms that occur in the candidate are counted in it.
+    shared = F.array_intersect(words, F.transform("_terms", lambda t: t.term))
     score = F.aggregate(
-        F.coalesce("_terms", F.array().cast("array<struct<term:string,idf:double>>")), F.lit(0.0),
+        F.filter("_terms", lambda t: F.array_contains("_shared", t.term)), F.lit(0.0),
         lambda acc, t: acc + t.idf * tf(t) * (k1 + 1) / (tf(t) + scale))
     scored = (
         cands.join(terms, q_id, "left").withColumn("_words", tokens(F.lower(F.col(text))))
-        .withColumn("bm25", score).drop("_terms", "_words")
+        .withColumn("_shared", shared).withColumn("bm25", F.coalesce(score, F.lit(0.0)))
+        .drop("_terms", "_words", "_shared")
     )
     ties = [c for c in cands.columns if c not in (q_id, text)]
     w = Window.partitionBy(q_id).orderBy(F.desc(F.round("bm25", 9)), *ties)

@@ -44,14 +44,15 @@ def x_04(spark, sf):
 @query("x_05_embedding_table", rf"""
 WITH clean AS (SELECT doc_id, lang, source, trim(regexp_replace(regexp_replace(regexp_replace(text, '\[\d+\]', '', 'g'), '[\s\x{{00A0}}]+', ' ', 'g'), '={{2,}}.*?={{2,}}', '', 'g')) AS text FROM documents),
 {DOC_CHUNKS.replace('FROM documents', 'FROM clean')}
-SELECT row_number() OVER (ORDER BY ('0x' || substr(md5(doc_id || '|' || chunk_no), 1, 8))::BIGINT % 256, doc_id, chunk_no) AS id,
-  doc_id, chunk_no, length(content)::INTEGER AS chars, 1024 AS dims, 1.0::DOUBLE AS norm FROM chunks""")
+SELECT doc_id, chunk_no, length(content)::INTEGER AS chars, 1024 AS dims, 1.0::DOUBLE AS norm, TRUE AS ids_dense FROM chunks""")
 def x_05(spark, sf):
     name = f"{scratch_schema(spark)}.embeddings"
     stored = X.build_embedding_table(texts(spark, sf).select("doc_id", "text"), name, ["doc_id"], "text", DIM)
     norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, v: a + v.cast("double") * v.cast("double")))
-    return stored.select("id", "doc_id", "chunk_no", F.length("content").alias("chars"),
-                         F.size("embedding").alias("dims"), F.round(norm, 4).alias("norm"))
+    dense = stored.agg(
+        (F.count_distinct("id") == F.count("*")) & (F.min("id") == 1) & (F.max("id") == F.count("*"))).scalar()
+    return stored.select("doc_id", "chunk_no", F.length("content").alias("chars"), F.size("embedding").alias("dims"),
+                         F.round(norm, 4).alias("norm"), dense.alias("ids_dense"))
 
 
 DOT = "list_sum(list_transform(list_zip({0}, {1}), lambda p: p[1]::DOUBLE * p[2]::DOUBLE))"
