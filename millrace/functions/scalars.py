@@ -11,6 +11,16 @@ MONTHS = [
     "January", "February", "March", "April", "May", "June",
     "July", "August", "September", "October", "November", "December",
 ]
+# The patterns text cleaning removes or collapses. ``(?U)`` makes
+# the classes cover Unicode digits and whitespace.
+CITATION = r"(?U)\[\d+\]"
+BLANKS = r"(?U)\s+"
+HEADER = r"={2,}.*?={2,}"
+# What identifiers may hold, and what stands in for the rest.
+NOT_IN_ID = "[^a-z0-9_]"
+VALID_ID = "^[a-zA-Z0-9_]+$"
+ID_PREFIX = "user_"
+ID_DEFAULT = "anonymous"
 
 
 def _c(c) -> Column:
@@ -52,18 +62,17 @@ def clean_text(c) -> Column:
     """Strip ``[n]`` citations, collapse whitespace, strip ``== headers ==``, trim.
 
     Headers go after the whitespace collapse, so a removed header leaves a
-    double space. Null gives the empty string. ``(?U)`` makes the classes cover
-    Unicode whitespace and digits.
+    double space. Null gives the empty string.
     """
-    text = F.regexp_replace(F.coalesce(_c(c), F.lit("")), r"(?U)\[\d+\]", "")
-    text = F.regexp_replace(text, r"(?U)\s+", " ")
-    text = F.regexp_replace(text, r"={2,}.*?={2,}", "")
+    text = F.coalesce(_c(c), F.lit(""))
+    for pattern, stand_in in ((CITATION, ""), (BLANKS, " "), (HEADER, "")):
+        text = F.regexp_replace(text, pattern, stand_in)
     return F.trim(text)
 
 
 def snippet(c, width: int = 180, mark: str = "…") -> Column:
     """Whitespace-collapsed text, cut at the last whole word that leaves room for ``mark``."""
-    text = F.trim(F.regexp_replace(_c(c), r"(?U)\s+", " "))
+    text = F.trim(F.regexp_replace(_c(c), BLANKS, " "))
     room = width - len(mark)
     head = F.regexp_extract(text, r"^(.{1,%d})(?: .*)?$" % room, 1)
     return F.when(F.length(text) <= width, text).otherwise(F.concat(F.rtrim(head), F.lit(mark)))
@@ -84,9 +93,9 @@ def to_json_row(df: DataFrame, name: str = "json") -> DataFrame:
     return df.select(F.to_json(F.struct(*iso_dates(df)), {"ignoreNullFields": "false"}).alias(name))
 
 
-def sanitize_id(c, prefix: str = "user_", default: str = "anonymous") -> Column:
+def sanitize_id(c, prefix: str = ID_PREFIX, default: str = ID_DEFAULT) -> Column:
     """Lower-case, dots to ``_``, other characters dropped, digits prefixed, empty → default."""
-    text = F.regexp_replace(F.replace(F.lower(_c(c)), F.lit("."), F.lit("_")), "[^a-z0-9_]", "")
+    text = F.regexp_replace(F.replace(F.lower(_c(c)), F.lit("."), F.lit("_")), NOT_IN_ID, "")
     text = F.when(text.rlike("^[0-9]"), F.concat(F.lit(prefix), text)).otherwise(text)
     return F.when(F.coalesce(text, F.lit("")) == "", F.lit(default)).otherwise(text)
 
@@ -94,7 +103,7 @@ def sanitize_id(c, prefix: str = "user_", default: str = "anonymous") -> Column:
 def is_valid_id(c) -> Column:
     """1 to 255 characters, only letters, digits and ``_``; null is not valid."""
     c = _c(c)
-    return F.coalesce(F.length(c).between(1, 255) & c.rlike(r"^[a-zA-Z0-9_]+$"), F.lit(False))
+    return F.coalesce(F.length(c).between(1, 255) & c.rlike(VALID_ID), F.lit(False))
 
 
 def first_pred(df: DataFrame, c: str) -> Column:
@@ -125,5 +134,5 @@ def label_eq(c, value, name: str) -> Column:
 
 def tokens(c) -> Column:
     """Whitespace tokens of a text; none for blank or null text."""
-    text = F.trim(F.regexp_replace(F.coalesce(_c(c), F.lit("")), r"(?U)\s+", " "))
+    text = F.trim(F.regexp_replace(F.coalesce(_c(c), F.lit("")), BLANKS, " "))
     return F.filter(F.split(text, " "), lambda t: t != "")

@@ -169,20 +169,20 @@ def rerank(
     terms = (
         queries.select(q_id, F.explode(F.array_distinct(tokens(F.lower(F.col(query))))).alias("term"))
         .join(freq, "term").groupBy(q_id)
-        .agg(F.sort_array(F.collect_list(F.struct("term", idf.alias("idf")))).alias("_terms"))
+        .agg(F.map_from_entries(F.collect_list(F.struct("term", idf.alias("idf")))).alias("_idf"))
     )
     words = F.col("_words")
-    tf = lambda t: F.size(F.filter(words, lambda w: w == t.term))
     scale = k1 * (1 - b + b * F.size(words) / avg_len)
-    # Only the terms that occur in the candidate are counted in it.
-    shared = F.array_intersect(words, F.transform("_terms", lambda t: t.term))
-    score = F.aggregate(
-        F.filter("_terms", lambda t: F.array_contains("_shared", t.term)), F.lit(0.0),
-        lambda acc, t: acc + t.idf * tf(t) * (k1 + 1) / (tf(t) + scale))
+
+    def add(total, term):
+        tf = F.size(F.filter(words, lambda w: w == term))
+        return total + F.element_at("_idf", term) * tf * (k1 + 1) / (tf + scale)
+
+    # Only the query terms that occur in the candidate are counted in it.
+    score = F.aggregate(F.array_intersect(words, F.map_keys("_idf")), F.lit(0.0), add)
     scored = (
         cands.join(terms, q_id, "left").withColumn("_words", tokens(F.lower(F.col(text))))
-        .withColumn("_shared", shared).withColumn("bm25", F.coalesce(score, F.lit(0.0)))
-        .drop("_terms", "_words", "_shared")
+        .withColumn("bm25", F.coalesce(score, F.lit(0.0))).drop("_idf", "_words")
     )
     ties = [c for c in cands.columns if c not in (q_id, text)]
     w = Window.partitionBy(q_id).orderBy(F.desc(F.round("bm25", 9)), *ties)
