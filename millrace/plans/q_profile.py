@@ -173,7 +173,7 @@ def a_17(spark, sf):
     return rounded(A.corr_with(bk, "y", CORR), 6)
 
 
-VAR = ["distance", "fare", "location", "user_id"]
+VAR = ["distance", "fare", "location", "trip_id"]
 
 
 @query("a_18_top_variance", f"WITH {TX} SELECT * FROM (" + " UNION ALL ".join(
