@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import quality_rules, sharding, simhash
+from millrace.llm import packing, quality_model, quality_rules, sharding, simhash, token_lengths, toxicity
 from millrace.llm.common import read
 from millrace.session import prepare
 
@@ -28,3 +28,7 @@ def _register(name: str, fn, *tables: str, sql: str | None = None) -> None:
 _register("op1_quality_rules", quality_rules.query, "documents", sql=quality_rules.check_sql())
 _register("op6_two_pass_shuffle", sharding.query, "documents")
 _register("op8_simhash", simhash.query, "documents")
+_register("op5_best_fit_packing", packing.query, "documents")
+_register("op10_token_lengths", token_lengths.query, "documents")
+_register("op3_quality_classifier", quality_model.query, "documents", "labels")
+_register("op9_toxicity", toxicity.query, "documents", "labels")
