@@ -9,20 +9,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import simhash
+from millrace.llm import decontaminate, packing, pii, simhash, toxicity
 from millrace.llm.common import read
 from millrace.session import materialize, prepare
 
 STAGES = [
+    ("toxicity", toxicity.stage),
     ("simhash near-dedup", simhash.keep_one),
+    ("benchmark decontamination", decontaminate.stage),
+    ("personal data", pii.stage),
+    ("best-fit packing", packing.stage),
 ]
 
-#: Models and fingerprints are not SQL; tests compare run() with a brute-force version.
+#: Models, fingerprints and token ids are not SQL; tests compare run() with a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the whole documents table."""
+    """All stages over the whole documents table: the packed pieces of the documents that stay."""
     at = sf_dir.rstrip("/")
     docs = read(prepare(spark), at, "documents")
     for name, stage in STAGES[:-1]:

@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import packing, quality_model, quality_rules, sharding, simhash, token_lengths, toxicity
+from millrace.llm import (
+    decontaminate, packing, pii, quality_model, quality_rules, quotes, sharding, simhash, token_lengths, toxicity,
+)
 from millrace.llm.common import read
 from millrace.session import prepare
 
@@ -32,3 +34,6 @@ _register("op5_best_fit_packing", packing.query, "documents")
 _register("op10_token_lengths", token_lengths.query, "documents")
 _register("op3_quality_classifier", quality_model.query, "documents", "labels")
 _register("op9_toxicity", toxicity.query, "documents", "labels")
+_register("op2_pii", pii.query, "documents")
+_register("op4_decontamination", decontaminate.query, "documents", "benchmark")
+_register("op7_quote_linking", quotes.query, "conversations")
