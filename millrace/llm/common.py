@@ -69,12 +69,16 @@ class ChunkEncoder:
     def __init__(self, path: str | None = None, memo: int = 600_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         if path is None:
             import public_tokenizers
 
             path = public_tokenizers.path("word_bpe_49k.json")
         self.tokenizer, self.limit, self.memo = Tokenizer.from_file(path), memo, {}
+        self.model, self.bytes_of = self.tokenizer.model, {}
+        self.byte_level = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.marks = dict(zip(".,", self._ids([".", ","])))
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         import numpy as np
@@ -82,22 +86,33 @@ class ChunkEncoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.asarray(e.ids, "<u4").tobytes() for e in found]
 
+    def _word(self, word: str) -> bytes:
+        """Ids of one normalised run of letters, which the pre-tokenizer keeps in one piece."""
+        import struct
+
+        for c in word:
+            if c not in self.bytes_of:
+                self.bytes_of[c] = "".join(piece for piece, _ in self.byte_level.pre_tokenize_str(c))
+        ids = [t.id for t in self.model.tokenize("".join(map(self.bytes_of.__getitem__, word)))]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def _learn(self, chunks: set[bytes]) -> None:
-        memo, split, need = self.memo, [], {}
+        memo, other = self.memo, {}
         for chunk in chunks:
             text = chunk.decode("utf-8", "replace")
             # A full stop or comma after letters is a token of its own.
-            if text[-1] in ".," and unicodedata.normalize("NFC", text[:-1]).lower().isalpha():
-                split.append((chunk, chunk[:-1], chunk[-1:]))
-                for part in split[-1][1:]:
-                    if part not in memo:
-                        need[part] = part.decode()
-            else:
-                need[chunk] = text
-        for chunk, ids in zip(need, self._ids(list(need.values()))):
+            mark = text[-1] if text[-1] in ".," else ""
+            word = unicodedata.normalize("NFC", text[:-1] if mark else text).lower()
+            if not word.isalpha() or "\u03a3" in text:  # a capital sigma's lower case depends on its place
+                other[chunk] = text
+                continue
+            stem = chunk[:-1] if mark else chunk
+            if stem not in memo:
+                memo[stem] = self._word(word)
+            if mark:
+                memo[chunk] = memo[stem] + self.marks[mark]
+        for chunk, ids in zip(other, self._ids(list(other.values()))):
             memo[chunk] = ids
-        for chunk, word, mark in split:
-            memo[chunk] = memo[word] + memo[mark]
 
     def encode(self, texts: list[bytes]):
         """For each UTF-8 text its ids, as little-endian 32-bit bytes."""
