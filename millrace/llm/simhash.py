@@ -275,4 +275,5 @@ def keep_one(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     first = marks.groupBy("fp").agg(F.min(order).alias("first"))
     kept = first.join(groups(marks), "fp").groupBy("root").agg(F.min("first").alias("first"))
     kept = materialize(kept.select(F.col("first._place").alias("_place")), "kept")
-    return placed.join(kept, "_place", "left_semi").select(*[placed[c] for c in docs.columns])
+    # Kept rows grow with the input: the same shuffled join at every size.
+    return placed.join(kept.hint("merge"), "_place", "left_semi").select(*[placed[c] for c in docs.columns])
