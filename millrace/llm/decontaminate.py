@@ -3,8 +3,9 @@
 The test items are a query set, taken in blocks of bounded size; each block goes to
 all tasks and meets all documents. One pass over the texts keeps, of documents that
 hold any n-gram of the block, where it stands. Document counts of these n-grams over
-the whole corpus then rank each item's n-grams, and the rarer half are its seeds, so
-every item has seeds, whether its words are common or a third of all documents hold it.
+the whole corpus then tell each item's rare n-grams, its seeds, from phrases of the
+language; rare is meant against the item's own median, so every item that occurs has
+seeds, whether its words are common or a third of all documents hold it.
 Passages round the seeds are aligned with the item, word by word, and the best local
 score over the score of the whole item tells copies, edited or paraphrased ones too.
 
@@ -115,17 +116,23 @@ def _occurrences(block: Block):
     return run
 
 
-def choose_seeds(block: Block, seen: dict[int, int], share: float = 0.5, least: int = 4):
-    """For each item the rarer part of its n-grams (by documents that hold them), as a mask over the block's places."""
+def choose_seeds(block: Block, seen: dict[int, int], times: int = 8, least: int = 4):
+    """For each item its rare n-grams, as a mask over the block's places.
+
+    Rare is what occurs in at most ``times`` as many documents as the item's median
+    n-gram, of those that occur at all, so phrases of the language fall away while an
+    item that many documents hold, whole or edited, keeps its own n-grams. The
+    ``least`` rarest always stay.
+    """
     import numpy as np
 
     count = np.array([seen.get(g, 0) for g in block.gram.tolist()], "i8")
+    keep = np.zeros(len(count), bool)
     order = np.lexsort([block.at, count, block.item])
-    first = np.searchsorted(block.item[order], np.arange(len(block.ids)))
-    sizes = np.bincount(block.item, minlength=len(block.ids))
-    rank = np.arange(len(order)) - first[block.item[order]]
-    keep = np.zeros(len(order), bool)
-    keep[order] = rank < np.maximum(least, np.ceil(share * sizes[block.item[order]]))
+    order = order[count[order] > 0]
+    for own in np.split(order, np.flatnonzero(np.diff(block.item[order])) + 1):
+        if len(own):
+            keep[own] = (count[own] <= times * np.median(count[own])) | (np.arange(len(own)) < least)
     return keep
 
 
