@@ -154,11 +154,11 @@ def _counts():
                 found = mentions(text, base_spans(text, p), p)
                 groups = {}
                 for i, (start, _, label, shape, keys) in enumerate(found):
-                    label = max(label, 0)
-                    seen["shape", shape, label] += 1
+                    seen["shape", shape, max(label, 0)] += 1
                     if i and start - found[i - 1][1] <= NEAR:
-                        seen["chain", str(max(found[i - 1][2], 0)), label] += 1
-                    for key in keys:
+                        seen["chain", str(max(found[i - 1][2], 0)), max(label, 0)] += 1
+                    # Look-alikes are what is to be inferred: only base matches teach agreement.
+                    for key in keys if label >= 0 else ():
                         if key in groups:
                             seen["skip", str(groups[key]), label] += 1
                         groups[key] = label
@@ -186,7 +186,8 @@ class Potentials:
                 pairs[part][int(cell), label] += n
         prior = (every + 1) / (every.sum() + k)
         self.unknown = np.log(prior)
-        self.shapes = {s: np.log((n + prior) / (n.sum() + 1)) for s, n in shapes.items()}
+        # Base patterns call every look-alike "none", so a shape alone never settles the label.
+        self.shapes = {s: np.maximum(np.log((n + prior) / (n.sum() + 1)), -4.0) for s, n in shapes.items()}
         chance = prior[:, None] * prior[None, :]
 
         def lift(counts, strength):
@@ -197,7 +198,7 @@ class Potentials:
         # Similar mentions that base patterns read alike agree; a floor keeps messages finite.
         agree = lift(pairs["skip"], 1.0)
         own = np.eye(k) * np.maximum(np.diag(agree), 1.0)
-        self.skip = np.where(np.eye(k) > 0, own, np.clip(agree, -6, 0))
+        self.skip = np.where(np.eye(k) > 0, own, np.clip(agree, -6, -3))
 
     def node(self, shape: str):
         return self.shapes.get(shape, self.unknown)
