@@ -131,6 +131,20 @@ class ChunkEncoder:
                     yield b"".join(map(memo.__getitem__, chunks))
 
 
+def shared_encoder(path: str | None = None) -> ChunkEncoder:
+    """The worker process's one encoder for this vocabulary, kept from task to task.
+
+    Functions travel by value, so a global of this module would be made anew with
+    each task; the library that the encoder wraps is the same throughout a process.
+    """
+    import tokenizers
+
+    kept = vars(tokenizers).setdefault("_encoders_by_path", {})
+    if path not in kept:
+        kept[path] = ChunkEncoder(path)
+    return kept[path]
+
+
 def utf8(column) -> list[bytes]:
     """An Arrow string column as UTF-8 bytes, null as empty."""
     import pyarrow as pa

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from millrace.llm.common import ChunkEncoder, bucket_count, numbered, utf8
+from millrace.llm.common import bucket_count, numbered, shared_encoder, utf8
 from millrace.session import materialize
 
 CAPACITY = 4096
@@ -41,7 +41,7 @@ def _cut(capacity: int, tokenizer: str | None, keep_ids: bool):
         import numpy as np
         import pyarrow as pa
 
-        encoder, end = ChunkEncoder(tokenizer), np.array([END], "<u4").tobytes()
+        encoder, end = shared_encoder(tokenizer), np.array([END], "<u4").tobytes()
         for batch in batches:
             rows, piece, start, length, crc, kept = [], [], [], [], [], []
             for row, ids in enumerate(encoder.encode(utf8(batch.columns[-1]))):

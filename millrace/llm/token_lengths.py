@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import ChunkEncoder, utf8
+from millrace.llm.common import shared_encoder, utf8
 from millrace.session import materialize
 
 #: Lengths summed in one sorted group; the groups' totals are summed up after that.
@@ -27,7 +27,7 @@ def _lengths(tokenizer: str | None):
     def run(batches):
         import pyarrow as pa
 
-        encoder = ChunkEncoder(tokenizer)
+        encoder = shared_encoder(tokenizer)
         for batch in batches:
             found = [len(ids) // 4 for ids in encoder.encode(utf8(batch.column(0)))]
             yield pa.RecordBatch.from_arrays([pa.array(found, "i8")], names=["n_tokens"])
