@@ -26,12 +26,12 @@ def label_codes(df: DataFrame, c: str, buckets: int = 64) -> DataFrame:
 def label_encode(df: DataFrame, c: str, out: str | None = None, buckets: int = 64) -> DataFrame:
     """Replace (or add as ``out``) the sorted-order code of a column; null stays null.
 
-    A domain measured to be small becomes a literal map, with no join. A larger
-    one is numbered as a distributed table and joined.
+    Spark orders the values in either case (NaN last). A domain measured to be small
+    becomes a literal map, with no join. A larger one is numbered as a distributed table and joined.
     """
-    found = df.select(c).filter(F.col(c).isNotNull()).distinct().limit(MAP_DOMAIN + 1).collect()
+    found = df.select(c).filter(F.col(c).isNotNull()).distinct().orderBy(c).limit(MAP_DOMAIN + 1).collect()
     if len(found) <= MAP_DOMAIN:
-        pairs = [F.lit(x) for i, v in enumerate(sorted(r[0] for r in found)) for x in (v, i)]
+        pairs = [F.lit(x) for i, v in enumerate(r[0] for r in found) for x in (v, i)]
         code = F.try_element_at(F.create_map(*pairs), F.col(c)) if pairs else F.lit(None)
         return df.withColumn(out or c, code.cast("long"))
     # Stored, so that Spark knows its true size and broadcasts it only when it is small.

@@ -22,9 +22,7 @@ def confusion(df: DataFrame, label: str = "label", pred: str = "prediction", cla
     counts = df.dropna(subset=[label, pred]).groupBy(
         F.col(label).alias("label"), F.col(pred).alias("prediction")).agg(F.count("*").alias("n"))
     if classes is None:
-        found = counts.select(F.explode(F.array("label", "prediction")).alias("c")).distinct().limit(1001).collect()
-        if len(found) > 1000:
-            raise ValueError("more than 1000 classes")
+        found = counts.select(F.explode(F.array("label", "prediction")).alias("c")).distinct().collect()
         classes = sorted(r.c for r in found)
     kind = counts.schema["label"].dataType.simpleString()
     every = F.array(*[F.lit(c).cast(kind) for c in classes])
@@ -39,11 +37,13 @@ def confusion(df: DataFrame, label: str = "label", pred: str = "prediction", cla
 def class_report(df: DataFrame, label: str = "label", pred: str = "prediction", classes: list | None = None) -> DataFrame:
     """Precision, recall, F1 and support per class with macro and weighted means.
 
-    An undefined ratio counts as 0. Computed from the class counts, one row per
-    class.
+    An undefined ratio counts as 0. Computed from the counts of all rows with a
+    label, one row per class: a missing prediction, or one outside ``classes``,
+    counts as a miss. ``classes`` only selects (and adds) the classes shown.
     """
-    cells = confusion(df, label, pred, classes)
-    hit = F.col("label") == F.col("prediction")
+    cells = df.filter(F.col(label).isNotNull()).groupBy(
+        F.col(label).alias("label"), F.col(pred).alias("prediction")).agg(F.count("*").alias("n"))
+    hit = F.col("label").eqNullSafe(F.col("prediction"))
     sides = cells.select(
         F.explode(F.array(
             F.struct(F.col("label").alias("class"), F.when(hit, F.col("n")).otherwise(0).alias("tp"),
@@ -51,7 +51,13 @@ def class_report(df: DataFrame, label: str = "label", pred: str = "prediction",
             F.struct(F.col("prediction").alias("class"), F.lit(0).cast("long").alias("tp"),
                      F.lit(0).cast("long").alias("support"), F.col("n").alias("predicted")),
         )).alias("s")
-    ).select("s.*")
+    ).select("s.*").filter(F.col("class").isNotNull())
+    if classes is not None:
+        kind = cells.schema["label"].dataType.simpleString()
+        none = F.lit(0).cast("long")
+        shown = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c).cast(kind) for c in classes])).alias("class"))
+        sides = sides.join(F.broadcast(shown), "class", "left_semi").unionByName(
+            shown.select("class", none.alias("tp"), none.alias("support"), none.alias("predicted")))
     zero = F.lit(0.0)
     per = (
         sides.groupBy("class").agg(*[F.sum(c).alias(c) for c in ("tp", "support", "predicted")])

@@ -342,5 +342,5 @@ def knn_classify(
         .groupBy("query_id", "_label").agg(F.count("*").alias("votes"))
     )
     return votes.groupBy("query_id").agg(
-        F.max_by("_label", F.struct("votes", (-F.col("_label")).alias("_tie"))).alias("prediction")
+        F.min(F.struct((-F.col("votes")).alias("_fewest"), "_label"))["_label"].alias("prediction")
     ).select(F.col("query_id").alias(key), "prediction")

@@ -204,6 +204,8 @@ def corr_matrix(df: DataFrame, cols: list[str], absolute: bool = False) -> DataF
     sums per pair, whatever its number of rows.
     """
     d = len(cols)
+    # NaN counts as unknown, like null.
+    df = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in cols])
     row = df.agg(
         *[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)],
         *[F.stddev_pop(F.col(c).cast("double")).alias(f"s{i}") for i, c in enumerate(cols)]).first()

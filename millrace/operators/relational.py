@@ -70,8 +70,8 @@ def compare_predictions(a: DataFrame, b: DataFrame, keys: list[str], c: str = "p
 
 
 def score_batch(model, rows: DataFrame, lookups: list, label: str | None = None) -> DataFrame:
-    """Look up the features of the given keys and apply a fitted model."""
+    """Look up the features of the given keys and apply a fitted model; a feature key that occurs twice is refused."""
     out = rows
     for table, keys, features in lookups:
-        out = out.join(table.select(*keys, *features), keys, "left")
+        out = out.join(assert_unique(table.select(*keys, *features), keys), keys, "left")
     return model.transform(out.drop(label) if label else out)

@@ -94,18 +94,27 @@ def embed(df: DataFrame, text: str, dim: int = 1024, fn: Callable | None = None,
     By default every lower-cased token adds ±1 at its md5-hashed position and
     the sum is scaled to length 1; hashing runs in the JVM, adding up runs per
     Arrow batch. ``fn`` (list of texts → list of vectors) is called per batch
-    instead; when it fails, the vectors of that batch are zero.
+    instead; when it fails, the texts are tried one by one and those that fail
+    get the zero vector.
     """
     if fn is not None:
+        def one(text: str) -> list[float]:
+            try:
+                return list(map(float, fn([text])[0]))
+            except Exception:
+                return [0.0] * dim
+
         def call(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             for texts in batches:
                 full = [t for t in texts if t and t.strip()]
                 try:
-                    vectors = iter(fn(full) if full else [])
-                    rows = [list(map(float, next(vectors))) if t and t.strip() else [0.0] * dim for t in texts]
+                    vectors = [list(map(float, v)) for v in (fn(full) if full else [])]
+                    if len(vectors) != len(full):
+                        raise ValueError("one vector per text is needed")
                 except Exception:
-                    rows = [[0.0] * dim for _ in texts]
-                yield pd.Series(rows)
+                    vectors = [one(t) for t in full]
+                found = iter(vectors)
+                yield pd.Series([next(found) if t and t.strip() else [0.0] * dim for t in texts])
 
         call_udf = _once(call, T.ArrayType(T.FloatType()))
         return df.withColumn(out, call_udf(F.col(text)))
@@ -201,7 +210,7 @@ def build_prompts(
     ``hits`` holds the few kept passages per query, each shown with its source.
     """
     passage = F.concat(
-        F.lit("Source: "), F.coalesce(F.col(source).cast("string"), F.lit("<unknown source>")),
+        F.lit("Source: "), F.coalesce(F.col(source).cast("string"), F.lit("(not stated)")),
         F.lit("\n"), F.coalesce(F.col(text), F.lit("")))
     context = hits.groupBy(q_id).agg(
         F.sort_array(F.collect_list(F.struct(F.col(rank).alias("r"), passage.alias("p")))).alias("_ps"))

@@ -207,9 +207,8 @@ def s_14(spark, sf):
 SELECT '{"o_orderdate":"' || strftime(o_orderdate, '%Y-%m-%d') || '","o_orderstatus":"' || o_orderstatus
   || '","n":' || count(*) || '}' AS json FROM orders GROUP BY o_orderdate, o_orderstatus""")
 def s_15(spark, sf):
-    table(spark, sf, "orders").createOrReplaceTempView("millrace_orders")
-    return io.sql_rows(spark, """```sql
-SELECT o_orderdate, o_orderstatus, count(*) AS n FROM millrace_orders GROUP BY o_orderdate, o_orderstatus
+    return io.sql_rows(spark, f"""```sql
+SELECT o_orderdate, o_orderstatus, count(*) AS n FROM parquet.`{sf}/orders.parquet` GROUP BY o_orderdate, o_orderstatus
 ```""")
 
 

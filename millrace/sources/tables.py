@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from pyspark.sql import Window
 
 from millrace.functions.hashing import hash32
 from millrace.functions.scalars import to_json_row
-from millrace.session import materialize, scratch_path
+from millrace.session import materialize
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
@@ -89,21 +90,34 @@ def verify_table(spark: SparkSession, name: str) -> DataFrame:
     return df.agg(F.count("*").alias("n_rows")).withColumn("n_cols", F.lit(len(df.columns)))
 
 
-def compact(spark: SparkSession, path: str, target_files: int) -> DataFrame:
-    """Rewrite a path into at most ``target_files`` files in a new folder and return that table.
+def _beside(path: str) -> str:
+    """A new folder next to the one given, so that it lives as long as its neighbour."""
+    return f"{path.rstrip('/')}-compact-{uuid.uuid4().hex[:12]}"
+
+
+def table_location(spark: SparkSession, name: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").collect()
+    return rows[-1]["data_type"]
+
+
+def compact(spark: SparkSession, path: str, target_files: int, location: str | None = None) -> DataFrame:
+    """Rewrite a path into at most ``target_files`` files in a new folder (by default beside it) and return that table.
 
     Scan tasks already pack small files to about equal size; joining them needs
     no shuffle. The old files stay untouched, so readers of the old path are not
     disturbed.
     """
-    out = scratch_path(spark, "compact")
+    out = location or _beside(path)
     spark.read.parquet(path).coalesce(target_files).write.parquet(out)
     return spark.read.parquet(out)
 
 
 def compact_table(spark: SparkSession, name: str, target_files: int, location: str | None = None) -> None:
-    """Compact a table into a new folder, then point the table at it."""
-    out = location or scratch_path(spark, "compact")
+    """Compact a table into a new folder (by default beside its own), then point the table at it.
+
+    Never into scratch: that folder goes when the application's intermediates do.
+    """
+    out = location or _beside(table_location(spark, name))
     spark.table(name).coalesce(target_files).write.parquet(out)
     spark.sql(f"ALTER TABLE {name} SET LOCATION '{out}'")
     spark.catalog.refreshTable(name)
@@ -151,7 +165,9 @@ def describe_catalog(spark: SparkSession, schemas: dict[str, str], counts: bool
     parts, rows = [], []
     for layer, schema in schemas.items():
         for t in spark.catalog.listTables(schema):
-            df = spark.table(f"{schema}.{t.name}")
+            if t.isTemporary:
+                continue
+            df = spark.table(f"`{schema}`.`{t.name}`")
             rows += [(layer, t.name, f.name, f.dataType.simpleString()) for f in df.schema.fields]
             if counts:
                 parts.append(
@@ -161,6 +177,8 @@ def describe_catalog(spark: SparkSession, schemas: dict[str, str], counts: bool
     listing = spark.createDataFrame(rows, "layer string, table string, column string, type string")
     if not counts:
         return listing
+    if not parts:
+        return listing.withColumn("non_null", F.lit(None).cast("long"))
     counted = parts[0]
     for p in parts[1:]:
         counted = counted.unionByName(p)
@@ -173,9 +191,12 @@ NO_ROWS = "Query returned no results."
 
 
 def strip_sql(text: str) -> str:
-    """The statement inside a code fence, or the text without surrounding quotes."""
+    """The statement inside a code fence, or the text without one pair of quotes round all of it."""
     fenced = re.search(SQL_FENCE, text, re.DOTALL)
-    return (fenced[1] if fenced else text.strip().strip("\"'")).strip()
+    bare = (fenced[1] if fenced else text).strip()
+    if not fenced and len(bare) > 1 and bare[0] == bare[-1] and bare[0] in "\"'":
+        bare = bare[1:-1].strip()
+    return bare
 
 
 def sql_rows(spark: SparkSession, text: str) -> DataFrame:
@@ -183,19 +204,20 @@ def sql_rows(spark: SparkSession, text: str) -> DataFrame:
     return to_json_row(spark.sql(strip_sql(text)))
 
 
-def sql_json(spark: SparkSession, text: str, max_rows: int = 1000) -> str:
+def sql_json(spark: SparkSession, text: str, max_rows: int | None = None) -> str:
     """Result of an ad-hoc statement as JSON records; messages for no rows and for errors.
 
-    This is the interactive form: it answers with one text, so a result above
-    ``max_rows`` is refused with a message instead of being cut. ``sql_rows``
-    has no such bound.
+    This is the interactive form: it answers with one text. A caller may have
+    results above ``max_rows`` refused with a message; none is ever cut.
+    ``sql_rows`` is the form for large results.
     """
     try:
-        rows = [r[0] for r in sql_rows(spark, text).limit(max_rows + 1).collect()]
+        found = sql_rows(spark, text)
+        rows = [r[0] for r in (found if max_rows is None else found.limit(max_rows + 1)).collect()]
     except Exception as e:
         return f"Error executing query: {e}"
     if not rows:
         return NO_ROWS
-    if len(rows) > max_rows:
+    if max_rows is not None and len(rows) > max_rows:
         return f"Error executing query: more than {max_rows} rows. Aggregate the result or write it to a table."
     return "[" + ",".join(rows) + "]"

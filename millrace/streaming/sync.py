@@ -8,10 +8,11 @@ folder. ``compact_index`` folds the batches into one from time to time.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.session import scratch_path
 from millrace.streaming.events import with_epoch
 
 
@@ -34,16 +35,20 @@ def sync_index(
         changes.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(**trigger).start())
 
 
-def read_index(spark: SparkSession, target: str, schema, keys: list[str]) -> DataFrame:
-    """The newest row per key over all batches."""
+def read_index(spark: SparkSession, target: str, schema, keys: list[str], order: str | None = None) -> DataFrame:
+    """The newest row per key over all batches.
+
+    With ``order`` a late old version loses, whatever batch it came in; the batch
+    number decides between equal ones. Without it the latest batch wins.
+    """
     rows = spark.read.schema(with_epoch(schema)).parquet(target)
     cols = [c for c in rows.columns if c != "epoch"]
-    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*cols), F.col("epoch")).alias("_row"))
+    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*cols), F.struct(*([order] if order else []), "epoch")).alias("_row"))
     return newest.select("_row.*")
 
 
-def compact_index(spark: SparkSession, target: str, schema, keys: list[str]) -> str:
-    """Write the current state as a single batch to a new folder and return its path."""
-    out = scratch_path(spark, "index")
-    read_index(spark, target, schema, keys).write.parquet(f"{out}/epoch=-1")
+def compact_index(spark: SparkSession, target: str, schema, keys: list[str], order: str | None = None) -> str:
+    """Write the current state as a single batch to a new folder beside the old one and return its path."""
+    out = f"{target.rstrip('/')}-compact-{uuid.uuid4().hex[:12]}"
+    read_index(spark, target, schema, keys, order).write.parquet(f"{out}/epoch=-1")
     return out

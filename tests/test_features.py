@@ -151,6 +151,20 @@ def test_class_report_empty_class_is_zero(frame):
     assert rows_of(E.confusion(df)) == [(0, 0, 1), (0, 1, 1), (1, 0, 0), (1, 1, 1)]
 
 
+def test_class_report_counts_rows_outside_the_classes_shown(frame):
+    df = frame("label int, prediction int", (0, 0), (0, 5), (1, 1), (1, None))
+    got = {r["class"]: r for r in E.class_report(df, classes=[0, 1]).collect()}
+    assert [(got[c].support, got[c].recall) for c in ("0", "1")] == [(2, 0.5), (2, 0.5)]
+
+
+def test_label_encode_orders_nan_alike_at_any_size(frame):
+    nan = float("nan")
+    small = M.label_encode(frame("v double", (3.0,), (nan,), (1.0,), (2.0,)), "v", "c").collect()
+    assert {str(r.v): r.c for r in small} == {"1.0": 0, "2.0": 1, "3.0": 2, "nan": 3}
+    large = M.label_encode(frame("v double", (nan,), *[(float(i),) for i in range(300)]), "v", "c").collect()
+    assert {str(r.v): r.c for r in large}["nan"] == 300
+
+
 def test_rmse(frame):
     assert E.rmse(frame("label double, prediction double", (1.0, 1.0), (2.0, 4.0))).first().rmse == pytest.approx(2 ** 0.5)
 

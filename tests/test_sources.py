@@ -63,14 +63,17 @@ def test_tables(spark, frame, db):
     assert not spark.catalog.tableExists(name)
 
 
-def test_compaction_keeps_rows(spark, db):
+def test_compaction_keeps_rows(spark):
     path = S.scratch_path(spark, "many")
     spark.range(1000).repartition(16).write.parquet(path)
     out = io.compact(spark, path, 2)
     assert io.file_count(out) <= 2 and out.count() == 1000 and out.distinct().count() == 1000
-    io.write_table(spark.range(100).repartition(9), f"{db}.wide")
-    io.compact_table(spark, f"{db}.wide", 1)
-    assert spark.table(f"{db}.wide").count() == 100 and io.file_count(spark.table(f"{db}.wide")) == 1
+    spark.sql("CREATE DATABASE t_durable")  # in the warehouse, not in scratch
+    io.write_table(spark.range(100).repartition(9), "t_durable.wide")
+    io.compact_table(spark, "t_durable.wide", 1)
+    S.clear_scratch(spark)
+    assert spark.table("t_durable.wide").count() == 100 and io.file_count(spark.table("t_durable.wide")) == 1
+    spark.sql("DROP DATABASE t_durable CASCADE")
 
 
 def test_surrogate_ids(spark):
@@ -91,10 +94,19 @@ def test_catalog(spark, frame, db):
     assert io.describe_catalog(spark, {"gold": db}).count() == 2
 
 
+def test_catalog_skips_temp_views_and_empty_schemas(spark, frame, db):
+    frame("a int", (1,)).createOrReplaceTempView("a_temp_view")
+    assert io.describe_catalog(spark, {"gold": db}, counts=True).collect() == []
+    spark.catalog.dropTempView("a_temp_view")
+
+
 def test_sql_json(spark):
     assert io.strip_sql("```sql\nSELECT 1\n```") == "SELECT 1"
     assert io.strip_sql("x ``` SELECT 2 ``` y") == "SELECT 2"
-    assert io.strip_sql("  \"SELECT 3'\" ") == "SELECT 3"
+    assert io.strip_sql("  \"SELECT 3\" ") == "SELECT 3"
+    assert io.strip_sql("SELECT 1 WHERE 'x' = 'x'") == "SELECT 1 WHERE 'x' = 'x'"
+    assert json.loads(io.sql_json(spark, "SELECT 1 AS a WHERE 'x' = 'x'")) == [{"a": 1}]
+    assert len(json.loads(io.sql_json(spark, "SELECT * FROM range(1500)"))) == 1500
     assert json.loads(io.sql_json(spark, "'SELECT 1 AS a, DATE '2024-02-03' AS d'")) == [{"a": 1, "d": "2024-02-03"}]
     assert io.sql_json(spark, "SELECT 1 WHERE false") == "Query returned no results."
     assert io.sql_json(spark, "SELEC 1").startswith("Error executing query")

@@ -87,10 +87,13 @@ def test_sync_takes_newest_change_and_can_be_compacted(spark, frame):
             frame(schema, *rows).coalesce(1).write.mode("append").parquet(source)
         changes = spark.readStream.schema(schema).parquet(source)
         Y.sync_index(changes, target, state, ["id"], "seq").awaitTermination()
+    late = frame(schema, (2, "late", 0))
+    late.coalesce(1).write.mode("append").parquet(source)
+    Y.sync_index(spark.readStream.schema(schema).parquet(source), target, state, ["id"], "seq").awaitTermination()
     want = [(1, "a"), (2, "c"), (3, "d")]
-    assert rows_of(Y.read_index(spark, target, schema, ["id"]), "id", "v") == want
-    folded = Y.compact_index(spark, target, schema, ["id"])
-    assert rows_of(Y.read_index(spark, folded, schema, ["id"]), "id", "v") == want
+    assert rows_of(Y.read_index(spark, target, schema, ["id"], "seq"), "id", "v") == want
+    folded = Y.compact_index(spark, target, schema, ["id"], "seq")
+    assert rows_of(Y.read_index(spark, folded, schema, ["id"], "seq"), "id", "v") == want
     frame(schema, (3, "e", 9)).coalesce(1).write.mode("append").parquet(source)
     Y.sync_index(spark.readStream.schema(schema).parquet(source), folded, state, ["id"], "seq").awaitTermination()
-    assert rows_of(Y.read_index(spark, folded, schema, ["id"]), "id", "v") == [(1, "a"), (2, "c"), (3, "e")]
+    assert rows_of(Y.read_index(spark, folded, schema, ["id"], "seq"), "id", "v") == [(1, "a"), (2, "c"), (3, "e")]

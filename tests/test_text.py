@@ -59,6 +59,12 @@ def test_embed_with_own_function(frame):
 
     assert {tuple(r.e) for r in X.embed(df, "t", 2, broken, "e").collect()} == {(0.0, 0.0)}
 
+    def picky(texts):
+        return [[len(t), 1] if t != "ab" else [] + [None] for t in texts]
+
+    got = {r.id: r.e for r in X.embed(df, "t", 2, picky, "e").collect()}
+    assert got == {1: [0.0, 0.0], 2: [0.0, 0.0], 3: [3.0, 1.0]}
+
 
 def brute(q, x, k, metric, self_join=False):
     out = {}
