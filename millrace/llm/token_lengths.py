@@ -20,7 +20,7 @@ from millrace.llm.common import shared_encoder, utf8
 from millrace.session import materialize
 
 #: Lengths summed in one sorted group; the groups' totals are summed up after that.
-STEP = 1024
+STEP = 64
 
 
 def _lengths(tokenizer: str | None):
