@@ -66,7 +66,7 @@ class ChunkEncoder:
     a text that holds the marker of a special token is encoded as it stands.
     """
 
-    def __init__(self, path: str | None = None, memo: int = 600_000):
+    def __init__(self, path: str | None = None, memo: int = 400_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel

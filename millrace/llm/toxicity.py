@@ -124,7 +124,7 @@ def mine_lexicon(rows: DataFrame, least_share: float = 0.005, least: int = 3, st
 class Reader:
     """Figures of texts against a lexicon, through a bounded memo of chunks."""
 
-    def __init__(self, lexicon: dict[str, float], memo: int = 600_000):
+    def __init__(self, lexicon: dict[str, float], memo: int = 250_000):
         self.lexicon, self.limit, self.memo = lexicon, memo, {}
 
     def figures(self, texts: list[bytes]):
@@ -140,7 +140,7 @@ class Reader:
             if len(memo) > self.limit:
                 memo.clear()
             for chunk in set(chunks).difference(memo):
-                memo[chunk] = [e for e in _entries(chunk) if e in lexicon]
+                memo[chunk] = [e for e in _entries(chunk) if e in lexicon] or None
             seen = set()
             for entries in filter(None, map(memo.__getitem__, chunks)):
                 for e in entries:
