@@ -22,18 +22,22 @@ def t_01(spark, sf):
 
 
 @query("t_02_sync_index", """
-SELECT vec_id, CASE WHEN label >= 5 THEN label + 100 ELSE label END AS label, len(embedding)::INTEGER AS dims FROM embeddings""")
+SELECT vec_id, CASE WHEN label >= 5 THEN label + 100 ELSE label END AS label, round(embedding[1]::DOUBLE, 5) AS first, len(embedding)::INTEGER AS dims
+FROM embeddings WHERE vec_id % 10 <> 3""")
 def t_02(spark, sf):
-    """A first drop of all vectors, then a second one that changes those with label 5 and more."""
+    """Four drops: all vectors, new labels from 5 up, deletes of some keys, and late old versions of everything."""
     drops, target, state = (scratch_path(spark, n) for n in ("drops", "index", "index-state"))
-    base = table(spark, sf, "embeddings")
+    base = table(spark, sf, "embeddings").withColumn("gone", F.lit(False))
+    changed = base.filter("label >= 5").withColumn("label", F.col("label") + 100)
+    removed = base.filter("vec_id % 10 = 3").withColumn("gone", F.lit(True))
+    late = base.withColumn("label", F.lit(-1).cast("int"))
     schema = base.withColumn("version", F.lit(1)).schema
-    for version, rows in ((1, base), (2, base.filter("label >= 5").withColumn("label", F.col("label") + 100))):
+    for version, rows in ((1, base), (2, changed), (3, removed), (0, late)):
         rows.withColumn("version", F.lit(version)).write.mode("append").parquet(drops)
         changes = spark.readStream.schema(schema).parquet(drops)
-        Y.sync_index(changes, target, state, ["vec_id"], "version").awaitTermination()
-    return Y.read_index(spark, target, schema, ["vec_id"]).select(
-        "vec_id", "label", F.size("embedding").alias("dims"))
+        Y.sync_index(changes, target, state, ["vec_id"], "version", deleted="gone").awaitTermination()
+    return Y.read_index(spark, target, schema, ["vec_id"], "version", "gone").select(
+        "vec_id", "label", F.round(F.col("embedding")[0].cast("double"), 5).alias("first"), F.size("embedding").alias("dims"))
 
 
 # A session is closed when the newest event is more than gap and delay (7 hours) after its last one.

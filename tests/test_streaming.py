@@ -97,3 +97,24 @@ def test_sync_takes_newest_change_and_can_be_compacted(spark, frame):
     frame(schema, (3, "e", 9)).coalesce(1).write.mode("append").parquet(source)
     Y.sync_index(spark.readStream.schema(schema).parquet(source), folded, state, ["id"], "seq").awaitTermination()
     assert rows_of(Y.read_index(spark, folded, schema, ["id"], "seq"), "id", "v") == [(1, "a"), (2, "c"), (3, "e")]
+
+
+def test_sync_follows_deletes(spark, frame):
+    source, target, state = (scratch_path(spark, n) for n in ("del-src", "del-dst", "del-state"))
+    schema = T.StructType.fromDDL("id int, v string, seq int, gone boolean")
+
+    def drop(into, *rows):
+        frame(schema, *rows).coalesce(1).write.mode("append").parquet(source)
+        changes = spark.readStream.schema(schema).parquet(source)
+        Y.sync_index(changes, into, state, ["id"], "seq", deleted="gone").awaitTermination()
+
+    read = lambda at: rows_of(Y.read_index(spark, at, schema, ["id"], "seq", "gone"), "id", "v")
+    drop(target, (1, "a", 1, False), (2, "b", 1, None), (3, "c", 1, False), (4, "tie", 1, False), (4, None, 1, True))
+    drop(target, (1, None, 3, True))
+    drop(target, (1, "late", 2, False), (3, "unordered", None, False))
+    assert read(target) == [(2, "b"), (3, "c")]
+    folded = Y.compact_index(spark, target, schema, ["id"], "seq", "gone")
+    drop(folded, (1, "later", 2, False))
+    assert read(folded) == [(2, "b"), (3, "c")]
+    drop(folded, (1, "back", 4, False))
+    assert read(folded) == [(1, "back"), (2, "b"), (3, "c")]
