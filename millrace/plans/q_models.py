@@ -1,19 +1,24 @@
 """Queries: MLlib training, tuning, scoring (M-12, M-14 to M-21, M-24, M-25, J-06).
 
-Fitted forests have no SQL counterpart; these queries return predictions or
-metrics of models trained on the whole table.
+A fitted model has no SQL counterpart. So each query returns what SQL can know of
+its result: the exact test rows, the figure a useless model would reach (share of
+the larger class, deviation of the label) and whether the fitted model beats it.
+The label of the classifiers is planted, so all rows far from its border must come
+out right, and SQL counts them.
 """
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressor
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from millrace.operators import features as FE
 from millrace.operators import metrics as E
 from millrace.operators import models as M
 from millrace.operators.relational import score_batch
-from millrace.plans.q_features import LINE_HASH, SPLIT, _features, rounded
+from millrace.plans.q_features import LINE_HASH, SPLIT, _features
 from millrace.plans.registry import query
 from millrace.plans.views import KEY, TX, planted
 from millrace.session import scratch_path
@@ -29,26 +34,51 @@ def _labelled(spark, sf):
     return pack(train), pack(test)
 
 
-def _outcome(model, test):
-    """Right and wrong predictions per class on the test rows."""
-    pred = model.transform(test).select(F.col("label").cast("int").alias("label"), F.col("prediction").cast("int").alias("prediction"))
-    return E.confusion(pred, classes=[0, 1])
+TEST_ROWS = f"NOT {LINE_HASH} < 3435973836"
+
+# Rows further than this from the planted border (40) have to be predicted right.
+MARGIN = 15
+CLEAR = f"abs(l_quantity + 3 * l_linenumber - 40) > {MARGIN}"
+
+
+def _clear(features="features"):
+    v = vector_to_array(features)
+    return F.abs(v[0] + 3 * v[1] - 40) > MARGIN
 
 
-@query("m_12_logistic_regression")
+OUTCOME_SQL = f"""
+WITH c AS (SELECT CASE WHEN l_quantity + 3 * l_linenumber > 40 THEN 1 ELSE 0 END AS label, count(*) AS n, count(*) FILTER ({CLEAR}) AS clear_right
+  FROM lineitem WHERE {TEST_ROWS} GROUP BY 1)
+SELECT label, n, clear_right, round(max(n) OVER () / sum(n) OVER (), 4) AS majority, true AS beats_majority FROM c"""
+
+
+def _outcome(model, test):
+    """Per class: test rows, right ones among those far from the border, and whether all in all the larger class is beaten."""
+    pred = model.transform(test)
+    right = F.col("prediction") == F.col("label")
+    every = Window.partitionBy(F.lit(0))
+    return (
+        pred.groupBy(F.col("label").cast("int").alias("label"))
+        .agg(F.count("*").alias("n"), F.count_if(_clear() & right).alias("clear_right"), F.count_if(right).alias("right"))
+        .select("label", "n", "clear_right",
+                F.round(F.max("n").over(every) / F.sum("n").over(every), 4).alias("majority"),
+                (F.sum("right").over(every) > F.max("n").over(every)).alias("beats_majority")))
+
+
+@query("m_12_logistic_regression", OUTCOME_SQL)
 def m_12(spark, sf):
     train, test = _labelled(spark, sf)
     weighted = FE.with_class_weight(train, "label")
     return _outcome(M.fit_logreg(weighted, weight="weight"), test)
 
 
-@query("m_14_decision_tree")
+@query("m_14_decision_tree", OUTCOME_SQL)
 def m_14(spark, sf):
     train, test = _labelled(spark, sf)
     return _outcome(M.fit_tree(train), test)
 
 
-@query("m_15_random_forest")
+@query("m_15_random_forest", OUTCOME_SQL)
 def m_15(spark, sf):
     train, test = _labelled(spark, sf)
     return _outcome(M.fit_forest(train, trees=100, depth=10), test)
@@ -58,27 +88,58 @@ def _fares(spark, sf):
     return FE.split(_features(spark, sf), ["trip_id"], 0.8)
 
 
-@query("m_16_random_forest_regressor")
+# Rows and label deviation of the test trips, and of the training trips.
+FARE_TEST = f"{TX}, dev AS (SELECT count(*) AS n, round(stddev_pop(fare), 4) AS label_dev FROM tx WHERE distance IS NOT NULL AND NOT {SPLIT} < 3435973836)"
+FARE_TRAIN = f"{TX}, dev AS (SELECT count(*) AS n, round(stddev_pop(fare), 4) AS label_dev FROM tx WHERE distance IS NOT NULL AND {SPLIT} < 3435973836)"
+
+
+def _fit_row(error, rows):
+    """One row: number of rows, deviation of their label, and whether ``error`` is below half of it."""
+    return rows.agg(
+        F.count("*").alias("n"), F.round(F.stddev_pop("label"), 4).alias("label_dev"),
+        (F.lit(error) < F.stddev_pop("label") / 2).alias("below_half"))
+
+
+def _dev(rows) -> float:
+    return rows.agg(F.stddev_pop("label")).first()[0]
+
+
+@query("m_16_random_forest_regressor", f"WITH {FARE_TEST} SELECT n, label_dev, true AS below_half FROM dev")
 def m_16(spark, sf):
     train, test = _fares(spark, sf)
-    return rounded(E.rmse(M.fit_forest_reg(train).transform(test)))
+    return _fit_row(E.rmse(M.fit_forest_reg(train).transform(test)).first().rmse, test)
+
+
+def _grid_sql(trees: list[int], depths: list[int]) -> str:
+    return f"""
+WITH {FARE_TRAIN}
+SELECT (row_number() OVER (ORDER BY t, d) - 1)::INTEGER AS combination, t::INTEGER AS "numTrees", d::INTEGER AS "maxDepth", label_dev, true AS beats_mean
+FROM (SELECT unnest({trees}) AS t), (SELECT unnest({depths}) AS d), dev"""
+
+
+def _grid_rows(tuned, train):
+    """The combinations of a search, and whether each one's error is below the deviation of the training label."""
+    dev = _dev(train)
+    return tuned.select(
+        "combination", "numTrees", "maxDepth", F.round(F.lit(dev), 4).alias("label_dev"), (F.col("metric") < dev).alias("beats_mean"))
 
 
 GRID = {"numTrees": [20, 50], "maxDepth": [5, 10]}
+CV_GRID = {"numTrees": [10, 20], "maxDepth": [3, 5]}
 
 
-@query("m_17_train_validation_split")
+@query("m_17_train_validation_split", _grid_sql(*GRID.values()))
 def m_17(spark, sf):
     train, _ = _fares(spark, sf)
     est = RandomForestRegressor(seed=42)
-    return rounded(M.tuning_table(spark, M.tune_tvs(est, GRID, train), GRID, est))
+    return _grid_rows(M.tuning_table(spark, M.tune_tvs(est, GRID, train), GRID, est), train)
 
 
-@query("m_18_cross_validation")
+@query("m_18_cross_validation", _grid_sql(*CV_GRID.values()))
 def m_18(spark, sf):
     train, _ = _fares(spark, sf)
-    est, grid = RandomForestRegressor(seed=42), {"numTrees": [10, 20], "maxDepth": [3, 5]}
-    return rounded(M.tuning_table(spark, M.tune_cv(est, grid, train), grid, est))
+    est = RandomForestRegressor(seed=42)
+    return _grid_rows(M.tuning_table(spark, M.tune_cv(est, CV_GRID, train), CV_GRID, est), train)
 
 
 SPACE = {"numTrees": (10, 30, 10), "maxDepth": (3, 5, 1)}
@@ -93,23 +154,41 @@ def _trials(spark, train, test):
         return M.search(spark, objective, SPACE, trials=5)
 
 
-@query("m_19_trial_search")
+@query("m_19_trial_search", f"""
+WITH {FARE_TEST} SELECT t::INTEGER AS trial, true AS in_space, label_dev, true AS beats_mean FROM range(5) r(t), dev""")
 def m_19(spark, sf):
-    return rounded(_trials(spark, *_fares(spark, sf)))
+    train, test = _fares(spark, sf)
+    dev = _dev(test)
+    inside = F.lit(True)
+    for name, (low, high, step) in SPACE.items():
+        inside &= F.col(name).between(low, high) & ((F.col(name) - low) % step == 0)
+    return _trials(spark, train, test).select(
+        "trial", inside.alias("in_space"), F.round(F.lit(dev), 4).alias("label_dev"), (F.col("rmse") < dev).alias("beats_mean"))
 
 
-@query("m_20_refit")
+@query("m_20_refit", f"WITH {FARE_TEST} SELECT n, label_dev, true AS below_half, true AS best_params FROM dev")
 def m_20(spark, sf):
+    """The refit model on the test rows, and whether its parameters are those of the trial with the least error."""
     train, test = _fares(spark, sf)
-    model = M.refit(RandomForestRegressor(seed=42), _trials(spark, train, test), list(SPACE), train)
-    return rounded(E.rmse(model.transform(test))).withColumns({
-        "trees": F.lit(model.getNumTrees), "depth": F.lit(model.getOrDefault("maxDepth"))})
-
-
-@query("m_21_importances")
+    trials = _trials(spark, train, test)
+    model = M.refit(RandomForestRegressor(seed=42), trials, list(SPACE), train)
+    best = min(trials.collect(), key=lambda r: (r.rmse, r.trial))
+    same = (model.getNumTrees, model.getOrDefault("maxDepth")) == (best.numTrees, best.maxDepth)
+    return _fit_row(E.rmse(model.transform(test)).first().rmse, test).withColumn("best_params", F.lit(same))
+
+
+# By SQL, the most telling feature is the one with the largest correlation with the label.
+@query("m_21_importances", f"""
+WITH t AS (SELECT *, CASE WHEN l_quantity + 3 * l_linenumber > 40 THEN 1 ELSE 0 END AS label FROM lineitem WHERE NOT ({TEST_ROWS})),
+c AS (SELECT unnest([{', '.join(f"'{f}'" for f in LABEL_FEATURES)}]) AS feature, unnest([
+  abs(corr(l_quantity, label)), abs(corr(l_linenumber, label)), abs(corr(l_extendedprice, label)), abs(corr(l_discount, label))]) AS r FROM t)
+SELECT arg_max(feature, r) AS top, count(*) AS features, true AS sums_to_one FROM c""")
 def m_21(spark, sf):
     train, _ = _labelled(spark, sf)
-    return rounded(M.importances(spark, M.fit_forest(train, trees=20, depth=5), LABEL_FEATURES, 3))
+    found = M.importances(spark, M.fit_forest(train, trees=20, depth=5), LABEL_FEATURES)
+    return found.agg(
+        F.max_by("feature", "importance").alias("top"), F.count("*").alias("features"),
+        (F.abs(F.sum("importance") - 1) < 1e-9).alias("sums_to_one"))
 
 
 @query("m_24_save_load", f"""
@@ -125,27 +204,40 @@ def m_24(spark, sf):
         F.count("*").alias("n"), F.count_if(F.col("before") != F.col("after")).alias("different"))
 
 
+def _one_per_key(spark, sf):
+    """Labelled line items; of rows that share a key, the one with the largest quantity."""
+    row = F.max(F.struct(*LABEL_FEATURES, "label")).alias("row")
+    return planted(spark, sf).groupBy(*KEY).agg(row).select(*KEY, "row.*")
+
+
+UNIQUE_TEST = f"(SELECT {', '.join(KEY)}, max(l_quantity) AS l_quantity FROM lineitem WHERE {TEST_ROWS} GROUP BY ALL)"
+
+
 @query("m_25_score", f"""
-SELECT count(*) AS n, 0::BIGINT AS different FROM lineitem WHERE NOT {LINE_HASH} < 3435973836""")
+SELECT count(*) AS n, 0::BIGINT AS different, count(*) FILTER ({CLEAR}) AS clear_right FROM {UNIQUE_TEST}""")
 def m_25(spark, sf):
-    """Scores by the fitted model itself and by the broadcast-coefficients function, compared."""
-    train, test = _labelled(spark, sf)
+    """Scores by the fitted model itself and by the broadcast-coefficients function, compared with each other and the label."""
+    train, _ = _labelled(spark, sf)
     model = M.fit_logreg(train)
-    both = M.score(test, model, KEY, probability=True).withColumnRenamed("prediction", "by_model")
+    _, test = FE.split(_one_per_key(spark, sf), KEY, 0.8)
+    rows = FE.assemble(test, LABEL_FEATURES)
+    by_model = M.score(rows, model, [*KEY, "label", "features"], probability=True).withColumnRenamed("prediction", "by_model")
     udf = M.linear_score_udf(model, spark)
-    rows = planted(spark, sf).select(*KEY, udf(F.struct(*LABEL_FEATURES)).alias("by_function")).dropDuplicates(KEY)
-    return both.join(rows, KEY).agg(
-        F.count("*").alias("n"), F.count_if(F.col("by_model") != F.col("by_function")).alias("different"))
+    by_function = test.select(*KEY, udf(F.struct(*LABEL_FEATURES)).alias("by_function"))
+    return by_model.join(by_function, KEY).agg(
+        F.count("*").alias("n"), F.count_if(F.col("by_model") != F.col("by_function")).alias("different"),
+        F.count_if(_clear() & (F.col("by_function") == F.col("label"))).alias("clear_right"))
 
 
 @query("j_06_score_batch", f"""
-SELECT count(*) AS n, 0::BIGINT AS unscored, 2::BIGINT AS classes FROM lineitem WHERE NOT {LINE_HASH} < 3435973836""")
+SELECT count(*) AS n, 0::BIGINT AS unscored, count(*) FILTER ({CLEAR}) AS clear_right FROM {UNIQUE_TEST}""")
 def j_06(spark, sf):
     train, _ = _labelled(spark, sf)
     model = M.fit_tree(train)
-    _, test = FE.split(planted(spark, sf), KEY, 0.8)
-    lookup = FE.assemble(planted(spark, sf).dropDuplicates(KEY), LABEL_FEATURES)
-    scored = score_batch(model, test.select(*KEY), [(lookup, KEY, ["features"])])
+    rows = _one_per_key(spark, sf)
+    _, test = FE.split(rows, KEY, 0.8)
+    lookup = FE.assemble(rows, LABEL_FEATURES)
+    scored = score_batch(model, test.select(*KEY, F.col("label").alias("truth")), [(lookup, KEY, ["features"])])
     return scored.agg(
         F.count("*").alias("n"), F.count_if(F.col("prediction").isNull()).alias("unscored"),
-        F.count_distinct("prediction").alias("classes"))
+        F.count_if(_clear() & (F.col("prediction") == F.col("truth"))).alias("clear_right"))

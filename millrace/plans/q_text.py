@@ -15,6 +15,9 @@ from millrace.plans.views import table, texts
 # Lower-cased whitespace tokens per document and per question.
 TOKENS = r"""dtok AS (SELECT doc_id, list_filter(string_split(trim(regexp_replace(lower(text), '[\s\x{00A0}]+', ' ', 'g')), ' '), lambda t: t <> '') AS w FROM documents),
 qtok AS (SELECT item_id, list_filter(string_split(trim(regexp_replace(lower(text), '[\s\x{00A0}]+', ' ', 'g')), ' '), lambda t: t <> '') AS w FROM benchmark)"""
+# Documents without citations, runs of blanks and headers.
+CLEAN_DOCS = r"""clean AS (SELECT doc_id, lang, source, trim(regexp_replace(regexp_replace(regexp_replace(text, '\[\d+\]', '', 'g'),
+  '[\s\x{00A0}]+', ' ', 'g'), '={2,}.*?={2,}', '', 'g')) AS text FROM documents)"""
 DIM = 1024
 # Signed feature hashing: position h % dim, sign by the next bit.
 HASHED = """{0}h AS (SELECT {1} AS id, ('0x' || substr(md5(t), 1, 8))::BIGINT AS h FROM (SELECT {1}, unnest(w) AS t FROM {0}tok)),
@@ -28,7 +31,25 @@ def x_02(spark, sf):
     return X.chunk(texts(spark, sf).select("doc_id", "text"), "text")
 
 
-@query("x_03_chunk_sentences")
+# Pieces are sentences, cut at 500 words; cum holds the words before each piece. A chunk is a run of pieces (s, e):
+# as many as fit into 500 words, beginning with those last pieces of the chunk before that fit into 50.
+@query("x_03_chunk_sentences", rf"""
+WITH RECURSIVE {CLEAN_DOCS},
+sents AS (SELECT doc_id, unnest(l) AS sentence, generate_subscripts(l, 1) AS si
+  FROM (SELECT doc_id, string_split(regexp_replace(text, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)) AS l FROM clean)),
+words AS (SELECT doc_id, si, list_filter(string_split(sentence, ' '), lambda t: t <> '') AS w FROM sents),
+pieces AS (SELECT doc_id, si, len(w) AS n, unnest(range(0, len(w), 500)) AS pos FROM words),
+ends AS (SELECT doc_id, si, pos, sum(least(500, n - pos)) OVER (PARTITION BY doc_id ORDER BY si, pos)::BIGINT AS c FROM pieces),
+docs AS MATERIALIZED (SELECT doc_id, cum, w FROM (SELECT doc_id, list_prepend(0, list(c ORDER BY si, pos)) AS cum FROM ends GROUP BY 1)
+  JOIN (SELECT doc_id, flatten(list(w ORDER BY si)) AS w FROM words GROUP BY 1) USING (doc_id)),
+runs AS (
+  SELECT doc_id, 0::BIGINT AS s, len(list_filter(cum, lambda x: x <= 500)) - 1 AS e FROM docs
+  UNION ALL
+  SELECT doc_id, s2, len(list_filter(cum, lambda x: x <= cum[s2 + 1] + 500)) - 1
+  FROM (SELECT doc_id, cum, greatest(s, len(list_filter(cum, lambda x: x < cum[e + 1] - least(50, 500 - (cum[e + 2] - cum[e + 1]))))) AS s2
+    FROM runs JOIN docs USING (doc_id) WHERE e < len(cum) - 1)),
+filled AS (SELECT doc_id, e, array_to_string(w[cum[s + 1] + 1 : cum[e + 1]], ' ') AS content FROM runs JOIN docs USING (doc_id))
+SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY e) - 1)::INTEGER AS chunk_no, content FROM filled WHERE length(content) > 100""")
 def x_03(spark, sf):
     return X.chunk_sentences(texts(spark, sf).select("doc_id", "text"), "text")
 
@@ -42,7 +63,7 @@ def x_04(spark, sf):
 
 
 @query("x_05_embedding_table", rf"""
-WITH clean AS (SELECT doc_id, lang, source, trim(regexp_replace(regexp_replace(regexp_replace(text, '\[\d+\]', '', 'g'), '[\s\x{{00A0}}]+', ' ', 'g'), '={{2,}}.*?={{2,}}', '', 'g')) AS text FROM documents),
+WITH {CLEAN_DOCS},
 {DOC_CHUNKS.replace('FROM documents', 'FROM clean')}
 SELECT doc_id, chunk_no, length(content)::INTEGER AS chars, 1024 AS dims, 1.0::DOUBLE AS norm, TRUE AS ids_dense FROM chunks""")
 def x_05(spark, sf):
