@@ -37,13 +37,17 @@ def training_set(
     return out.select(*[c for c in out.columns if c != label], label)
 
 
-def upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
-    """Merge ``source`` into ``target`` by key; both hold each key once.
+def upsert(target: DataFrame, source: DataFrame, keys: list[str], check: bool = True) -> DataFrame:
+    """Merge ``source`` into ``target`` by key.
 
-    A matched row takes every source value, nulls included, and keeps the
+    A source that holds a key twice is refused, because it would multiply the
+    target's rows; ``check=False`` saves that pass where the key is known to be
+    unique. A matched row takes every source value, nulls included, and keeps the
     target's other columns; new keys are added; new columns are null on rows the
     source does not have.
     """
+    if check:
+        assert_unique(source.select(*keys).dropna(), keys)
     t, s = target.alias("t"), source.withColumn("_in_source", F.lit(True)).alias("s")
     on = [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys]
     joined = t.join(s, on, "full_outer")
