@@ -10,6 +10,7 @@ base vectors with one matrix product and emits only the best k per query.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, Window
@@ -20,6 +21,10 @@ from millrace.session import materialize
 
 BLOCK_BASE = 8192
 BLOCK_QUERY = 1024
+# Cells grow with the root of the base, up to what every task can hold as pivots; larger cells are cut into blocks.
+MIN_CELLS, MAX_CELLS = 16, 4096
+# Rows whose distances to all pivots are held at a time.
+SLICE = 512
 
 
 def cosine(a: Column | str, b: Column | str) -> Column:
@@ -135,6 +140,7 @@ def _small_side(q: DataFrame, x: DataFrame, k: int, metric: str) -> DataFrame:
 
 
 VECTORS = "id long, v array<double>, cell int"
+ROUTES = "id long, cell int"
 
 
 def _rows_of():
@@ -167,21 +173,27 @@ def _distances():
 def _cells(df: DataFrame, pivots, metric: str) -> DataFrame:
     """(id, v, cell, dist): every vector with its nearest pivot and the distance to it; written once."""
     shared = df.sparkSession.sparkContext.broadcast(pivots)
-    matrix, rows_of, distances = _matrix(), _rows_of(), _distances()
+    matrix, rows_of, distances, step = _matrix(), _rows_of(), _distances(), SLICE
 
     def assign(batches: Iterator) -> Iterator:
         import numpy as np
 
         for batch in batches:
             ids, x = matrix(batch, metric)
-            if len(ids):
-                d = distances(x, shared.value)
+            for at in range(0, len(ids), step):
+                part = slice(at, at + step)
+                d = distances(x[part], shared.value)
                 cell = d.argmin(1)
-                yield rows_of(ids, x, cell, d[np.arange(len(x)), cell], names=["dist"])
+                yield rows_of(ids[part], x[part], cell, d[np.arange(len(cell)), cell], names=["dist"])
 
     return materialize(df.mapInArrow(assign, VECTORS + ", dist double"), "cells")
 
 
+def _cell_count(x: DataFrame, cells: int | None) -> int:
+    """The given number of cells, or one that follows the number of base vectors."""
+    return cells or min(max(math.isqrt(x.count()), MIN_CELLS), MAX_CELLS)
+
+
 def _pivots(x: DataFrame, n: int, metric: str):
     """Up to n base vectors with the smallest id hashes: a fixed-size, repeatable sample."""
     import numpy as np
@@ -190,10 +202,11 @@ def _pivots(x: DataFrame, n: int, metric: str):
     return np.unique(p, axis=0)
 
 
-def _blocked(routed: DataFrame, x: DataFrame, k: int, metric: str) -> DataFrame:
+def _blocked(routed: DataFrame, q: DataFrame, x: DataFrame, k: int, metric: str) -> DataFrame:
     """Join queries to base vectors cell by cell in blocks of bounded size.
 
-    ``routed`` has (id, v, cell), one row per query and cell to search. A cell
+    ``routed`` has (id, cell), one row per query and cell to search; the vectors
+    of ``q`` (id, v) join it only on their way into the blocks. A cell
     with many base vectors or many queries is cut into blocks by id hash, so a
     hot cell spreads over many tasks and no task holds more than one block pair.
     """
@@ -201,11 +214,12 @@ def _blocked(routed: DataFrame, x: DataFrame, k: int, metric: str) -> DataFrame:
         n = F.ceil(F.count("*") / block).cast("int").alias(name)
         return df.groupBy("cell").agg(n)
 
-    parts = sizes(x, "x_parts", BLOCK_BASE).join(sizes(routed, "q_parts", BLOCK_QUERY), "cell")
+    # One row per cell, so at most MAX_CELLS or the number the caller gave.
+    parts = F.broadcast(sizes(x, "x_parts", BLOCK_BASE).join(sizes(routed, "q_parts", BLOCK_QUERY), "cell"))
     shuffled = F.xxhash64("id")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     left = (
-        routed.join(parts, "cell").withColumn("q_part", F.pmod(shuffled, F.col("q_parts")).cast("int"))
+        routed.join(q, "id").join(parts, "cell").withColumn("q_part", F.pmod(shuffled, F.col("q_parts")).cast("int"))
         .select("cell", "q_part", every("x_parts").alias("x_part"), "id", "v")
     )
     right = (
@@ -217,7 +231,7 @@ def _blocked(routed: DataFrame, x: DataFrame, k: int, metric: str) -> DataFrame:
     def pair(q, b):
         import pyarrow as pa
 
-        q_ids, q_mat = matrix(q, None)
+        q_ids, q_mat = matrix(q, metric)
         b_ids, b_mat = matrix(b, None)
         hit = ([], [], [])
         if len(q_ids) and len(b_ids):
@@ -230,7 +244,7 @@ def _blocked(routed: DataFrame, x: DataFrame, k: int, metric: str) -> DataFrame:
 
 
 def _exact_routes(q: DataFrame, x: DataFrame, pivots, k: int, metric: str) -> DataFrame:
-    """(id, v, cell) for every cell that can hold one of the k nearest of a query.
+    """(id, cell) for every cell that can hold one of the k nearest of a query.
 
     Each cell gives its radius and its k smallest pivot distances (few numbers
     per cell). By the triangle inequality these bound a query's k-th distance
@@ -249,36 +263,40 @@ def _exact_routes(q: DataFrame, x: DataFrame, pivots, k: int, metric: str) -> Da
     near_cell = np.array([r.cell for r in near])
     near_dist = np.array([r.dist for r in near])
     shared = q.sparkSession.sparkContext.broadcast((pivots, radius, near_cell, near_dist))
-    matrix, rows_of, distances = _matrix(), _rows_of(), _distances()
+    matrix, distances, step = _matrix(), _distances(), SLICE
 
     def route(batches: Iterator) -> Iterator:
         import numpy as np
+        import pyarrow as pa
 
         p, rad, cells, dists = shared.value
         for batch in batches:
             ids, v = matrix(batch, metric)
-            if not len(ids):
-                continue
-            d = distances(v, p)
-            kth = np.full(len(v), np.inf)
-            if len(cells) >= k:
-                kth = np.partition(d[:, cells] + dists[None, :], k - 1, axis=1)[:, k - 1]
-            rows, cols = np.nonzero((d - rad[None, :] <= kth[:, None] + 1e-6) & (rad >= 0)[None, :])
-            yield rows_of(ids[rows], v[rows], cols)
+            for at in range(0, len(ids), step):
+                part = slice(at, at + step)
+                d = distances(v[part], p)
+                kth = np.full(len(d), np.inf)
+                if len(cells) >= k:
+                    kth = np.partition(d[:, cells] + dists[None, :], k - 1, axis=1)[:, k - 1]
+                rows, cols = np.nonzero((d - rad[None, :] <= kth[:, None] + 1e-6) & (rad >= 0)[None, :])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids[part][rows]), pa.array(cols.astype(np.int32))], names=["id", "cell"])
 
-    return q.mapInArrow(route, VECTORS)
+    return q.mapInArrow(route, ROUTES)
 
 
 def knn(
     queries: DataFrame, base: DataFrame, k: int = 5, *, q_id: str, q_vec: str, b_id: str, b_vec: str,
-    metric: str = "cosine", exclude_self: bool = False, broadcast_bytes: int = 64 << 20, cells: int = 256,
+    metric: str = "cosine", exclude_self: bool = False, broadcast_bytes: int = 64 << 20, cells: int | None = None,
 ) -> DataFrame:
     """Exact k nearest base vectors per query: (query_id, neighbour_id, score, rank).
 
     A query set measured to fit ``broadcast_bytes`` is sent to all tasks and the
-    base is read once. A larger one is joined through a pivot partition of the
-    base: cells that the triangle inequality rules out for a query are skipped,
-    the others are scored in bounded blocks.
+    base is read once. A larger one, which must hold each id once, is joined
+    through a pivot partition of the base: cells that the triangle inequality
+    rules out for a query are skipped, the others are scored in bounded blocks.
+    Where it rules out so little that the cells would move more copies of the
+    queries than blocks over the whole base do, those blocks are used.
     """
     q = materialize(_vectors(queries, q_id, q_vec), "queries")
     x = _vectors(base, b_id, b_vec)
@@ -287,12 +305,14 @@ def knn(
     if volume <= broadcast_bytes:
         hits = _small_side(q, x, want, metric)
     else:
-        pivots = _pivots(x, cells, metric)
+        pivots = _pivots(x, _cell_count(x, cells), metric)
         if not len(pivots):
             return _merge(q.sparkSession.createDataFrame([], HITS), k)
         x = _cells(x, pivots, metric)
         routed = materialize(_exact_routes(q, x, pivots, want, metric), "routes")
-        hits = _blocked(routed, x.drop("dist"), want, metric)
+        if routed.count() > q.count() * -(-x.count() // BLOCK_BASE):
+            routed, x = (df.withColumn("cell", F.lit(0)) for df in (routed.select("id").distinct(), x))
+        hits = _blocked(routed, q, x.drop("dist"), want, metric)
     if exclude_self:
         hits = hits.filter("query_id <> neighbour_id")
     return _merge(hits, k)
@@ -300,33 +320,39 @@ def knn(
 
 def ann(
     queries: DataFrame, base: DataFrame, k: int = 5, *, q_id: str, q_vec: str, b_id: str, b_vec: str,
-    metric: str = "cosine", exclude_self: bool = False, cells: int = 64, probes: int = 8,
+    metric: str = "cosine", exclude_self: bool = False, cells: int | None = None, probes: int | None = None,
 ) -> DataFrame:
     """Approximate k nearest neighbours: each query searches its ``probes`` nearest cells only.
 
-    The base is cut into cells around sampled pivots; work per query is about
-    probes / cells of an exact search.
+    The base is cut into cells around sampled pivots, by default about as many
+    as the root of its size; work per query is about probes / cells of an exact
+    search. By default an eighth of the cells is searched, at least 8. The query
+    ids must be unique.
     """
     q, x = _vectors(queries, q_id, q_vec), _vectors(base, b_id, b_vec)
-    pivots = _pivots(x, cells, metric)
+    pivots = _pivots(x, _cell_count(x, cells), metric)
+    probes = probes or max(8, -(-len(pivots) // 8))
     if not len(pivots):
         return _merge(q.sparkSession.createDataFrame([], HITS), k)
     x = _cells(x, pivots, metric)
     shared = q.sparkSession.sparkContext.broadcast(pivots)
-    matrix, rows_of, distances = _matrix(), _rows_of(), _distances()
+    matrix, distances, step = _matrix(), _distances(), SLICE
 
     def route(batches: Iterator) -> Iterator:
         import numpy as np
+        import pyarrow as pa
 
         n = min(probes, len(shared.value))
         for batch in batches:
             ids, v = matrix(batch, metric)
-            if len(ids):
-                nearest = np.argsort(distances(v, shared.value), axis=1)[:, :n].ravel()
-                yield rows_of(np.repeat(ids, n), np.repeat(v, n, axis=0), nearest)
-
-    routed = materialize(q.mapInArrow(route, VECTORS), "routes")
-    hits = _blocked(routed, x.drop("dist"), k + 1 if exclude_self else k, metric)
+            for at in range(0, len(ids), step):
+                part = slice(at, at + step)
+                nearest = np.argsort(distances(v[part], shared.value), axis=1)[:, :n].ravel()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.repeat(ids[part], n)), pa.array(nearest.astype(np.int32))], names=["id", "cell"])
+
+    routed = materialize(q.mapInArrow(route, ROUTES), "routes")
+    hits = _blocked(routed, q, x.drop("dist"), k + 1 if exclude_self else k, metric)
     if exclude_self:
         hits = hits.filter("query_id <> neighbour_id")
     return _merge(hits, k)

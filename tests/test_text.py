@@ -169,3 +169,22 @@ def test_rerank_and_prompts(frame):
     prompt = X.build_prompts(top, queries, "C:\n{context}\nQ: {question}", q_id="q", query="question", rank="new_rank",
                              source="doc_id", text="text").filter("q = 1").first().prompt
     assert prompt == "C:\nSource: 1\nred fox red\n\nSource: 4\nred\nQ: red Fox"
+
+
+def test_ann_default_cells_recall(spark):
+    """The default share of cells at 64 numbers finds most neighbours of clustered vectors."""
+    rng = np.random.default_rng(9)
+    centres = rng.normal(size=(25, 64))
+    x = [(i, list(map(float, centres[i % 25] + 0.3 * rng.normal(size=64)))) for i in range(1000)]
+    df = spark.createDataFrame(x, "id long, v array<double>")
+    names = dict(q_id="id", q_vec="v", b_id="id", b_vec="v", exclude_self=True)
+    exact, near = found(N.knn(df, df, 5, **names)), found(N.ann(df, df, 5, **names))
+    recall = np.mean([len(set(exact[i]) & set(near.get(i, []))) / 5 for i in exact])
+    assert recall > 0.75
+
+
+def test_wide_vectors_over_many_cells(spark):
+    x = vectors(7, 300, dim=1024)
+    df = spark.createDataFrame(x, "id long, v array<double>")
+    names = dict(q_id="id", q_vec="v", b_id="id", b_vec="v", exclude_self=True)
+    assert found(N.knn(df, df, 3, **names)) == found(N.knn(df, df, 3, broadcast_bytes=0, cells=256, **names))
