@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.plans.registry import query
 from millrace.plans.views import SS, table
-from millrace.session import scratch_path
+from millrace.session import scratch_path, setting
 from millrace.streaming import events as T
 from millrace.streaming import sync as Y
 
@@ -45,7 +45,8 @@ def t_02(spark, sf):
 WITH {SS} SELECT user_id, session_start::VARCHAR AS session_start, session_end::VARCHAR AS session_end, events, converted FROM ss
 WHERE session_end + INTERVAL 6 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""")
 def t_03(spark, sf):
-    out = T.run_to_table(T.stream_sessions(T.stream_events(spark, f"{sf}/events*.parquet")), "sessions")
+    with setting(spark, T.MERGE_SESSIONS, "true"):
+        out = T.run_to_table(T.stream_sessions(T.stream_events(spark, f"{sf}/events*.parquet")), "sessions")
     return out.select("user_id", F.col("session_start").cast("string").alias("session_start"),
                       F.col("session_end").cast("string").alias("session_end"), "events", "converted")
 

@@ -32,14 +32,17 @@ def stream_counts(events: DataFrame, window: str = "1 day", delay: str = "1 hour
     )
 
 
+MERGE_SESSIONS = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
+
+
 def stream_sessions(events: DataFrame, gap: str = "6 hours", delay: str = "1 hour", goal: str = "purchase") -> DataFrame:
     """Closed sessions per user; events later than ``delay`` are not taken up.
 
-    Events of a user are merged into session pieces inside each input partition
-    before the shuffle, so a busy user sends pieces and not events, and costs
-    one state row per open session.
+    Run it with the setting MERGE_SESSIONS on (see ``session.setting``): then the
+    events of a user are merged into session pieces inside each input partition
+    before the shuffle, so a busy user sends pieces and not events. Either way
+    an open session costs one state row.
     """
-    events.sparkSession.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     return (
         events.withWatermark("ts", delay)
         .groupBy(F.session_window("ts", gap).alias("w"), "user_id")
