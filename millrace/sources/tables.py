@@ -127,12 +127,16 @@ def file_count(df: DataFrame) -> int:
     return len(df.inputFiles())
 
 
-def with_surrogate_id(df: DataFrame, keys: list[str] | None = None, buckets: int = 256, name: str = "id") -> DataFrame:
+ROWS_PER_BUCKET = 1 << 20
+
+
+def with_surrogate_id(df: DataFrame, keys: list[str] | None = None, buckets: int | None = None, name: str = "id") -> DataFrame:
     """Add ids 1..n without gaps.
 
     With unique ``keys`` the id follows (key hash bucket, keys), so it does not
     depend on partitioning: the buckets are counted first, and each is numbered
-    on its own from its offset. Without keys the frame is materialised and each
+    on its own from its offset. Their number follows the number of rows, about
+    a million in each, unless it is given. Without keys the frame is materialised and each
     stored partition is numbered from its offset, with no shuffle at all.
     """
     if keys is None:
@@ -142,6 +146,7 @@ def with_surrogate_id(df: DataFrame, keys: list[str] | None = None, buckets: int
         }), "ids")
         rank = F.col("_at") + 1
     else:
+        buckets = buckets or max(256, -(-df.count() // ROWS_PER_BUCKET))
         df = df.withColumn("_part", (hash32(*keys) % buckets).cast("int"))
         rank = F.row_number().over(Window.partitionBy("_part").orderBy(*keys))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

@@ -176,3 +176,9 @@ def test_promote_and_resolve(frame):
     better = ML.promote_best(aliases, runs, "accuracy")
     assert rows_of(better) == [("m", "champion", 2), ("n", "champion", 1)]
     assert rows_of(ML.promote(better, "m", 10))[0] == ("m", "champion", 10)
+
+
+def test_upsert_refuses_a_repeated_source_key(frame):
+    target, source = frame("k int, a int", (1, 10)), frame("k int, a int", (1, 1), (1, 2))
+    with pytest.raises(ValueError, match="not unique"):
+        J.upsert(target, source, ["k"])
