@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from millrace.functions.hashing import hash32
 from millrace.functions.scalars import clean_text, tokens
+from millrace.session import materialize
 from millrace.sources.tables import append_table, with_surrogate_id
 
 
@@ -149,16 +150,35 @@ def build_embedding_table(docs: DataFrame, table: str, keys: list[str], text: st
     return docs.sparkSession.table(table)
 
 
-def term_stats(docs: DataFrame, text: str) -> tuple[DataFrame, DataFrame]:
-    """(term, df) and the one-row (n_docs, avg_len) of a corpus, for BM25.
+# Distinct terms that are sent to all tasks; some tens of megabytes.
+FEW_TERMS = 500_000
 
-    Each document contributes each of its terms once; counts are combined before
-    the shuffle, so a word of every document is no hot key.
+
+def term_stats(docs: DataFrame, text: str, wanted: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(term, df) and the one-row (n_docs, avg_len) of a corpus, for BM25, from one pass over it.
+
+    Each document contributes each of its terms once, and its length under the
+    null term; counts are combined before the shuffle, so a word of every
+    document is no hot key. With ``wanted``, one column ``term`` of distinct
+    terms, only those are counted: before the shuffle where they are few enough
+    to be sent to all tasks, else after it.
     """
     words = tokens(F.lower(F.col(text)))
-    terms = docs.select(F.explode_outer(F.array_distinct(words)).alias("term")).filter(F.col("term").isNotNull())
-    freq = terms.groupBy("term").agg(F.count("*").alias("df"))
-    size = docs.agg(F.count("*").alias("n_docs"), F.avg(F.size(words)).alias("avg_len"))
+    kind = "struct<term: string, words: bigint>"
+    own = F.struct(F.lit(None).cast("string").alias("term"), F.size(words).cast("long").alias("words")).cast(kind)
+    each = F.transform(F.array_distinct(words), lambda t: F.struct(t.alias("term"), F.lit(None).cast("long").alias("words")).cast(kind))
+    entries = docs.select(F.explode(F.concat(F.array(own), F.coalesce(each, F.array().cast(f"array<{kind}>")))).alias("e")).select("e.*")
+    few = wanted is not None and wanted.count() <= FEW_TERMS
+    if few:
+        asked = F.broadcast(wanted.withColumn("_asked", F.lit(True)))
+        entries = entries.join(asked, "term", "left").filter(F.col("term").isNull() | F.col("_asked"))
+    counted = entries.groupBy("term").agg(F.count("*").alias("df"), F.avg("words").alias("avg_len"))
+    if wanted is not None and not few:
+        counted = counted.join(wanted.withColumn("_asked", F.lit(True)), "term", "left").filter(F.col("term").isNull() | F.col("_asked"))
+    counted = materialize(counted, "term-stats")
+    freq = counted.filter(F.col("term").isNotNull()).select("term", "df")
+    size = counted.filter(F.col("term").isNull()).agg(
+        F.coalesce(F.max("df"), F.lit(0)).alias("n_docs"), F.max("avg_len").alias("avg_len"))
     return freq, size
 
 
@@ -172,14 +192,13 @@ def rerank(
     the statistics come from. Each query carries its own terms with their
     inverse document frequencies, so a candidate is scored in one row.
     """
-    freq, size = term_stats(docs, text)
+    asked = materialize(
+        queries.select(q_id, F.explode(F.array_distinct(tokens(F.lower(F.col(query))))).alias("term")), "asked")
+    freq, size = term_stats(docs, text, asked.select("term").distinct())
     n_docs, avg_len = size.first()
     idf = F.log(1 + (n_docs - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    terms = (
-        queries.select(q_id, F.explode(F.array_distinct(tokens(F.lower(F.col(query))))).alias("term"))
-        .join(freq, "term").groupBy(q_id)
-        .agg(F.map_from_entries(F.collect_list(F.struct("term", idf.alias("idf")))).alias("_idf"))
-    )
+    terms = asked.join(freq, "term").groupBy(q_id).agg(
+        F.map_from_entries(F.collect_list(F.struct("term", idf.alias("idf")))).alias("_idf"))
     words = F.col("_words")
     scale = k1 * (1 - b + b * F.size(words) / avg_len)
 
