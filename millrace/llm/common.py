@@ -6,9 +6,12 @@ import math
 import os
 import unicodedata
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from millrace.session import materialize
+
 #: What separates words and makes up blank lines: space and code points 9 to 13.
 BLANKS = " \t\n\x0b\x0c\r"
 
@@ -27,6 +30,28 @@ def id_remainder(column: str, divisor: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")), F.lit(divisor))
 
 
+def with_place(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a column that tells its rows apart, and that column's name.
+
+    A row's place is its file and its number in the file. It is the same in every
+    job, also when executors were lost in between and files are split differently.
+    ``docs`` is a scan of Parquet files, filtered or not; a frame without such places
+    is stored first.
+    """
+    name = "_place"
+    while name.lower() in map(str.lower, docs.columns):
+        name += "_"
+    try:
+        return _placed(docs, name), name
+    except AnalysisException:
+        return _placed(materialize(docs, "documents"), name), name
+
+
+def _placed(docs: DataFrame, name: str) -> DataFrame:
+    at = docs.metadataColumn("_metadata")
+    return docs.withColumn(name, F.struct(F.xxhash64(at["file_path"]).alias("file"), at["row_index"].alias("row")))
+
+
 def numbered(df: DataFrame, by: list[str], bucket: str, order: list[Column], name: str) -> DataFrame:
     """Add the position (from 0) of each row among the rows with equal ``by`` values.
 

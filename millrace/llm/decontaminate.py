@@ -25,6 +25,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.common import with_place
 from millrace.session import materialize
 
 N = 4
@@ -250,11 +251,8 @@ def query(spark, docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents without any benchmark passage.
-
-    ``docs`` has to be a scan of files, whose rows keep their places when they are read twice.
-    """
-    placed = docs.withColumn("_place", F.monotonically_increasing_id())
+    """The documents without any benchmark passage."""
+    placed, place = with_place(docs)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = materialize(leaks(placed, benchmark, ["_place"]).select("_place").distinct(), "leaks")
-    return placed.join(found, "_place", "left_anti").select(*[placed[c] for c in docs.columns])
+    found = materialize(leaks(placed, benchmark, [place]).select(place).distinct(), "leaks")
+    return placed.join(found, place, "left_anti").select(*[placed[c] for c in docs.columns])

@@ -9,7 +9,8 @@ one side only: by the fingerprint that has a 0 in the highest differing bit.
 
 Copies are folded into one fingerprint first. Inside a table entry only a spanning
 forest of the links is returned, since only the groups are wanted; an entry with more
-than ``block`` fingerprints is cut into pairs of blocks that go to different tasks.
+than ``block`` fingerprints or look-ups is cut into pairs of blocks that go to different
+tasks, so no task holds more than two blocks of one entry.
 All links are found, none is capped or sampled.
 
 Defined cases: null and blank texts have fingerprint zero and are linked like any
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from millrace.llm.components import components
-from millrace.llm.common import utf8
+from millrace.llm.common import utf8, with_place
 from millrace.session import materialize
 
 #: Hashes whose bits are added up at a time.
@@ -205,6 +206,26 @@ def _links(distance: int, small: int = 24):
     return run
 
 
+def _cells(entries: DataFrame) -> DataFrame:
+    """Entries cut into ``_kt`` blocks of table rows and ``_kp`` of look-ups: a row for every cell that a row belongs to.
+
+    A cell is a pair of blocks, of two table blocks or of a table block and one of
+    look-ups, so all pairs meet in some cell and no cell holds more than two blocks.
+    Entries without numbers of blocks are one cell.
+    """
+    kt, kp = F.col("_kt"), F.col("_kp")
+    cell = lambda number, probe: F.struct(number.alias("_cell"), probe.alias("probe"))
+    own = F.pmod(F.xxhash64("fp"), F.when(F.col("probe"), kp).otherwise(kt))
+    upto = lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
+    # In a pair of table blocks the later block's rows take the place of look-ups.
+    among = F.transform(upto(kt), lambda i: cell(F.least(i, own) * kt + F.greatest(i, own), i < own))
+    asked = F.transform(upto(kp), lambda q: cell(kt * kt + own * kp + q, F.lit(False)))
+    asking = F.transform(upto(kt), lambda i: cell(kt * kt + i * kp + own, F.lit(True)))
+    where = F.when(kt.isNull(), F.array(cell(F.lit(0).cast("long"), F.col("probe")))).when(
+        F.col("probe"), asking).otherwise(F.concat(among, asked))
+    return entries.select("seg", "val", "fp", F.explode(where).alias("_in")).select("seg", "val", "fp", "_in._cell", "_in.probe")
+
+
 def linked(distinct: DataFrame, distance: int = 4, segments: int | None = None, block: int = 1 << 16) -> DataFrame:
     """Links ``u``, ``v`` that connect the distinct fingerprints ``fp`` exactly as all pairs within ``distance`` do.
 
@@ -214,23 +235,23 @@ def linked(distinct: DataFrame, distance: int = 4, segments: int | None = None,
     if segments is None:
         segments = 3 if distinct.count() < 1 << 26 else 2
     shape = "seg int, val long, fp long, probe boolean"
-    entries = distinct.select("fp").mapInArrow(_entries(segments, distance // segments), shape)
-    table = distinct.select("fp").mapInArrow(_entries(segments, 0), shape)
-    large = materialize(
-        table.groupBy("seg", "val").agg(F.count("*").alias("_n")).filter(F.col("_n") > block), "large")
-    entries = entries.withColumn("_block", F.lit(0))
+    radius = distance // segments
+    entries = distinct.select("fp").mapInArrow(_entries(segments, radius), shape).withColumn("_cell", F.lit(0).cast("long"))
+    masks = [(seg, mask) for seg, (_, width) in enumerate(_segments(segments)) for mask in _masks(width, radius)]
+    # An entry none of whose neighbours is crowded gets at most ``block`` look-ups.
+    crowded = block // max(1, len(masks) // segments)
+    stored = distinct.select("fp").mapInArrow(_entries(segments, 0), shape).groupBy("seg", "val").agg(F.count("*").alias("n"))
+    large = materialize(stored.filter(F.col("n") > crowded), "large")
     if large.limit(1).count():
-        # Block i of an entry meets its own and all later blocks of the table, and every look-up.
-        cut = entries.drop("_block").join(
-            large.select("seg", "val", F.ceil(F.col("_n") / block).cast("int").alias("_k")), ["seg", "val"], "left")
-        k = F.coalesce("_k", F.lit(1))
-        mine = F.when(F.col("probe"), k - 1).otherwise(F.pmod(F.xxhash64("fp"), k)).cast("int")
-        entries = cut.withColumn("_mine", mine).withColumn(
-            "_block", F.explode(F.sequence(F.lit(0), F.when(F.col("probe"), k - 1).otherwise(F.col("_mine")))))
-        # In a block's task, later blocks' rows take the place of look-ups.
-        entries = entries.withColumn("probe", F.col("probe") | (F.col("_mine") > F.col("_block")))
-    # One number for an entry and block; equal numbers of different entries cost a comparison, never a link.
-    entry = F.xxhash64("seg", "val", "_block")
+        balls = distinct.sparkSession.createDataFrame([*masks, (-1, 0)], "seg int, mask long")
+        around = large.join(F.broadcast(balls), "seg").select(
+            "seg", F.col("val").bitwiseXOR(F.col("mask")).alias("val"), F.lit(0).alias("t"), F.col("n").alias("p"))
+        parts = lambda n: F.greatest(F.ceil(F.sum(n) / block), F.lit(1)).cast("long")
+        hot = large.select("seg", "val", F.col("n").alias("t"), F.lit(0).alias("p")).unionByName(around).groupBy("seg", "val").agg(
+            parts("t").alias("_kt"), parts("p").alias("_kp")).filter("_kt > 1 or _kp > 1")
+        entries = _cells(entries.drop("_cell").join(hot, ["seg", "val"], "left"))
+    # One number for an entry and cell; equal numbers of different entries cost a comparison, never a link.
+    entry = F.xxhash64("seg", "val", "_cell")
     ordered = entries.select(entry.alias("entry"), "fp", "probe").repartition("entry").sortWithinPartitions("entry", "probe")
     return ordered.mapInArrow(_links(distance), "u long, v long")
 
@@ -265,15 +286,14 @@ def query(spark, docs: DataFrame) -> DataFrame:
 def keep_one(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with one row of each near-duplicate group: that of the smallest id.
 
-    Of repeated rows with that id the first in the scan stays; groups without any
-    id keep their first row. ``docs`` has to be a scan of files, whose rows keep
-    their places when they are read twice.
+    Of repeated rows with that id the one that stands first in the files stays (files
+    in order of a hash of their path); groups without any id keep their first row.
     """
-    placed = docs.withColumn("_place", F.monotonically_increasing_id())
-    marks = materialize(fingerprints(placed, ["_place", "doc_id"]), "fingerprints")
-    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_place")
+    placed, place = with_place(docs)
+    marks = materialize(fingerprints(placed, [place, "doc_id"]).withColumnRenamed(place, "place"), "fingerprints")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "place")
     first = marks.groupBy("fp").agg(F.min(order).alias("first"))
     kept = first.join(groups(marks), "fp").groupBy("root").agg(F.min("first").alias("first"))
-    kept = materialize(kept.select(F.col("first._place").alias("_place")), "kept")
+    kept = materialize(kept.select(F.col("first.place").alias(place)), "kept")
     # Kept rows grow with the input: the same shuffled join at every size.
-    return placed.join(kept.hint("merge"), "_place", "left_semi").select(*[placed[c] for c in docs.columns])
+    return placed.join(kept.hint("merge"), place, "left_semi").select(*[placed[c] for c in docs.columns])

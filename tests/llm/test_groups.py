@@ -6,11 +6,13 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 import corpus_pipeline
 from millrace.llm import components, decontaminate, packing, pii, sharding, simhash, toxicity
-from millrace.llm.common import ChunkEncoder
+from millrace.llm.common import ChunkEncoder, with_place
+from millrace.session import setting
 from tests.llm.helpers import documents, odd, scanned
 from tests.llm.test_measures import labels, prose
 
@@ -60,7 +62,7 @@ def test_simhash_against_brute_force(spark):
     assert [rows[i]["component_id"] for i in range(len(texts))] == brute_groups(marks)
 
 
-@pytest.mark.parametrize("segments, block", [(2, 1 << 16), (3, 1 << 16), (4, 1 << 16), (3, 7)])
+@pytest.mark.parametrize("segments, block", [(2, 1 << 16), (3, 1 << 16), (4, 1 << 16), (3, 7), (2, 40)])
 def test_links_connect_what_all_pairs_connect(spark, segments, block):
     r = random.Random(segments)
     centres = [r.getrandbits(64) for _ in range(12)]
@@ -76,6 +78,35 @@ def test_links_connect_what_all_pairs_connect(spark, segments, block):
             assert (roots.get(signed[i], signed[i]) == roots.get(signed[j], signed[j])) == (want[i] == want[j])
 
 
+def test_no_cell_of_a_crowded_entry_holds_more_than_two_blocks(spark):
+    """Fingerprints of one crowded segment value: its own entry and its neighbours' look-ups are cut."""
+    r = random.Random(8)
+    marks = sorted({r.getrandbits(40) for _ in range(4000)})
+    hot = spark.createDataFrame([(0, 5, m, p, 8, 6) for p in (False, True) for m in marks], "seg int, val long, fp long, probe boolean, _kt long, _kp long")
+    cells = simhash._cells(hot).groupBy("_cell").agg(F.count("*").alias("n")).collect()
+    assert len(cells) == 8 * 9 // 2 + 8 * 6 and max(c["n"] for c in cells) < 1.4 * 4000 * (1 / 8 + 1 / 6)
+    links = simhash.linked(spark.createDataFrame([(m,) for m in marks[:600]], "fp long"), 4, 3, 50)
+    assert links.count() == 0 or all(bin(a ^ b).count("1") <= 4 for a, b in links.collect())
+
+
+def test_places_are_of_the_files_and_not_of_the_partitions(spark, tmp_path):
+    docs = scanned(spark, documents(spark, *[prose(i, 300) for i in range(400)]).withColumn("_PLACE", F.lit(7)).repartition(3), tmp_path / "d")
+
+    def places():
+        placed, name = with_place(docs)
+        assert name == "_place_"
+        return placed.rdd.getNumPartitions(), {(r["doc_id"], r[name]) for r in placed.select("doc_id", name).collect()}
+
+    few, before = places()
+    with setting(spark, "spark.sql.files.maxPartitionBytes", "20000"):
+        many, after = places()
+    assert few < many and before == after and len({p for _, p in before}) == 400
+    # A frame that is no scan is stored first; its own columns stay as they are.
+    made = documents(spark, "a b c", "a b c", ids=[1, 1]).withColumn("_place", F.lit(7))
+    kept = simhash.keep_one(spark, made, "").collect()
+    assert len(kept) == 1 and kept[0]["_place"] == 7
+
+
 def test_components_of_long_chains_and_stars(spark):
     chain = [(i, i + 1) for i in range(40)]
     star = [(100, i) for i in range(101, 160)]
