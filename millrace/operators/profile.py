@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.hashing import hash_below
 from millrace.operators.ranking import quantiles
+from millrace.session import materialize
 
 
 def value_counts(df: DataFrame, c: str) -> DataFrame:
@@ -65,7 +66,8 @@ def box_stats(df: DataFrame, keys: list[str], c: str, buckets: int = 64, approx:
     Quartiles are exact; ``approx`` takes the accuracy of ``percentile_approx``
     instead when an estimate is enough.
     """
-    known = df.dropna(subset=[*keys, c])
+    # The source is worked out once; the passes below read the stored columns.
+    known = materialize(df.dropna(subset=[*keys, c]).select(*keys, c), "box")
     if approx:
         box = known.groupBy(*keys).agg(*[
             F.percentile_approx(c, p, approx).cast("double").alias(n)
@@ -135,11 +137,12 @@ def density(df: DataFrame, c: str, points: int = 32) -> DataFrame:
 
 def describe(df: DataFrame, cols: list[str], buckets: int = 64) -> DataFrame:
     """count, mean, sample std, min, quartiles and max, one row per column."""
-    long = df.select([F.col(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "column", "value")
-    moments = long.filter(F.col("value").isNotNull()).groupBy("column").agg(
-        F.count("*").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"), F.max("value").alias("max"),
-    )
+    wide = materialize(df.select([F.col(c).cast("double").alias(c) for c in cols]), "described")
+    long = wide.unpivot([], cols, "column", "value")
+    figures = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    # One row of figures for all columns; the rows are not multiplied by the columns for it.
+    row = wide.agg(*[F.struct(*[f(c).alias(n) for n, f in figures.items()]).alias(c) for c in cols])
+    moments = row.unpivot([], cols, "column", "f").select("column", "f.*").filter("count > 0")
     quartiles = quantiles(long, ["column"], "value", {"q1": 0.25, "median": 0.5, "q3": 0.75}, buckets)
     return moments.join(quartiles, "column")
 
