@@ -60,9 +60,14 @@ def t_04(spark, sf):
 
 
 @query("t_05_funnel", """
-WITH c AS (SELECT user_id, count(*) FILTER (event_type = 'view') AS n_view, count(*) FILTER (event_type = 'click') AS n_click,
-  count(*) FILTER (event_type = 'purchase') AS n_purchase, epoch_us(max(ts)) AS last_us FROM events GROUP BY 1)
-SELECT *, CASE WHEN n_view = 0 THEN 0 WHEN n_click = 0 THEN 1 WHEN n_purchase = 0 THEN 2 ELSE 3 END AS step FROM c""")
+WITH v AS (SELECT user_id, count(*) FILTER (event_type = 'view') AS n_view, count(*) FILTER (event_type = 'click') AS n_click,
+  count(*) FILTER (event_type = 'purchase') AS n_purchase, epoch_us(max(ts)) AS last_us,
+  min(ts) FILTER (event_type = 'view') AS viewed FROM events GROUP BY 1),
+c AS (SELECT user_id, min(ts) AS clicked FROM events JOIN v USING (user_id) WHERE event_type = 'click' AND ts >= viewed GROUP BY 1),
+p AS (SELECT user_id, min(ts) AS bought FROM events JOIN c USING (user_id) WHERE event_type = 'purchase' AND ts >= clicked GROUP BY 1)
+SELECT user_id, n_view, n_click, n_purchase, last_us,
+  CASE WHEN viewed IS NULL THEN 0 WHEN clicked IS NULL THEN 1 WHEN bought IS NULL THEN 2 ELSE 3 END AS step
+FROM v LEFT JOIN c USING (user_id) LEFT JOIN p USING (user_id)""")
 def t_05(spark, sf):
     out = T.run_to_table(T.stream_funnel(T.stream_events(spark, f"{sf}/events*.parquet")), "funnel", mode="update")
     newest = F.max_by(F.struct("n_view", "n_click", "n_purchase", "step", "last_us"), F.col("epoch"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,48 +53,78 @@ def stream_sessions(events: DataFrame, gap: str = "6 hours", delay: str = "1 hou
     )
 
 
-FUNNEL_ROWS = "user_id long, n_view long, n_click long, n_purchase long, last_ts timestamp"
+FUNNEL_ROWS = "user_id long, n_view long, n_click long, n_purchase long, first_view long, clicks array<long>, last_purchase long, last_us long"
 
 
-def stream_funnel(events: DataFrame) -> DataFrame:
-    """Running funnel per user: events seen per step, the deepest step reached, last event time.
+def _pairing_clicks(clicks, first_view):
+    """The clicks that can still come after a view: the earliest one after the first view, and all before it."""
+    import numpy as np
 
-    A step counts as reached when all steps before it were seen as well. Events
-    are added up per user inside every Arrow batch before they are grouped, so a
-    busy user sends a few sums to its task and not its events. State is four
-    numbers per user; every trigger emits the users it touched.
+    clicks = np.unique(np.asarray(clicks, "i8"))
+    if first_view is None:
+        return clicks
+    return clicks[: np.searchsorted(clicks, first_view, "left") + 1]
+
+
+def stream_funnel(events: DataFrame, delay: str = "1 hour", idle: dt.timedelta = dt.timedelta(days=30)) -> DataFrame:
+    """Running funnel per user: events seen per step, the deepest step reached in order, last event time.
+
+    A click counts at or after a view, a purchase at or after such a click, in event
+    time; events up to ``delay`` late are put into their place, whichever trigger they
+    come in. A user without events for ``idle`` is forgotten and starts anew.
+
+    Events are folded per user inside every Arrow batch before they are grouped, so a
+    busy user sends sums and click times and not events. State holds sums, the first
+    view, the last purchase, and clicks: one after the first view, and those before it
+    that are younger than the watermark, as a late view may still precede them.
     """
-    steps = FUNNEL
+    steps, idle_ms = FUNNEL, int(idle.total_seconds() * 1000)
 
     def combine(batches: Iterator) -> Iterator:
+        import pandas as pd
+
         for pdf in batches:
-            for s in steps:
-                pdf[f"n_{s}"] = (pdf.event_type == s).astype("int64")
-            sums = {f"n_{s}": "sum" for s in steps}
-            yield pdf.groupby("user_id", as_index=False).agg({**sums, "ts": "max"}).rename(columns={"ts": "last_ts"})
+            rows = []
+            for user, own in pdf.groupby("user_id", dropna=False):
+                times = [own.us[own.event_type == s] for s in steps]
+                view, purchase = (int(times[0].min()) if len(times[0]) else None), (int(times[2].max()) if len(times[2]) else None)
+                rows.append((user, *map(len, times), view, _pairing_clicks(times[1], view).tolist(), purchase, int(own.us.max())))
+            out = pd.DataFrame(rows, columns=[c.split()[0] for c in FUNNEL_ROWS.split(", ")])
+            yield out.astype({c: "Int64" for c in ("user_id", "first_view", "last_purchase")})
 
     def advance(key, batches: Iterator, state: GroupState) -> Iterator:
         import pandas as pd
 
-        counts, last = ([0, 0, 0], 0) if not state.exists else (list(state.get[:3]), state.get[3])
+        if state.hasTimedOut:
+            state.remove()
+            return
+        *counts, view, clicks, purchase, depth, last = state.get if state.exists else (0, 0, 0, None, [], None, 0, 0)
         for pdf in batches:
             for i, s in enumerate(steps):
                 counts[i] += int(pdf[f"n_{s}"].sum())
-            last = max(last, int(pdf.last_ts.max().value // 1000))
-        state.update((*counts, last))
-        depth = 0
-        while depth < len(steps) and counts[depth]:
-            depth += 1
+            views, purchases = pdf.first_view.dropna(), pdf.last_purchase.dropna()
+            view = min([int(v) for v in views] + [view] * (view is not None), default=None)
+            purchase = max([int(p) for p in purchases] + [purchase] * (purchase is not None), default=None)
+            clicks = _pairing_clicks([*clicks, *(c for own in pdf.clicks for c in own)], view).tolist()
+            last = max(last, int(pdf.last_us.max()))
+        paired = [c for c in clicks if view is not None and c >= view]
+        depth = max(depth, 0 if view is None else 1 if not paired else 2 if purchase is None or purchase < paired[0] else 3)
+        now = state.getCurrentWatermarkMs()
+        clicks = [c for c in clicks if depth < 3 and (c in paired or c >= now * 1000)]
+        state.update((*counts, view, clicks, purchase, depth, last))
+        state.setTimeoutTimestamp(max(last // 1000 + idle_ms, now + 1))
         yield pd.DataFrame({
-            "user_id": [key[0]], "n_view": [counts[0]], "n_click": [counts[1]], "n_purchase": [counts[2]],
+            "user_id": pd.array([key[0]], "Int64"), "n_view": [counts[0]], "n_click": [counts[1]], "n_purchase": [counts[2]],
             "step": [depth], "last_us": [last]})
 
+    known = events.filter("ts is not null").select("user_id", "event_type", F.unix_micros("ts").alias("us"))
+    folded = known.mapInPandas(combine, FUNNEL_ROWS).withColumn("ts", F.timestamp_micros("last_us"))
     return (
-        events.select("user_id", "event_type", "ts").mapInPandas(combine, FUNNEL_ROWS)
-        .groupBy("user_id")
+        folded.withWatermark("ts", delay).groupBy("user_id")
         .applyInPandasWithState(
             advance, "user_id long, n_view long, n_click long, n_purchase long, step int, last_us long",
-            "n_view long, n_click long, n_purchase long, last_us long", "update", GroupStateTimeout.NoTimeout)
+            "n_view long, n_click long, n_purchase long, first_view long, clicks array<long>, last_purchase long, step int, last_us long",
+            "update", GroupStateTimeout.EventTimeTimeout)
     )
 
 

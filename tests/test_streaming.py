@@ -68,15 +68,47 @@ def test_late_events_are_left_out(spark):
     assert [(r[0].day, r[1]) for r in rows_of(out, "window_start", "n")] == [(1, 1), (5, 1), (9, 1)]
 
 
+def newest_steps(out):
+    newest = F.max_by(F.struct("n_view", "n_click", "n_purchase", "step"), "epoch").alias("r")
+    return out.groupBy("user_id").agg(newest).select("user_id", "r.*")
+
+
 def test_funnel_runs_over_triggers(spark, drops):
     path, events = drops
     out = E.run_to_table(E.stream_funnel(stream(spark, path)), "funnel", mode="update")
-    newest = out.groupBy("user_id").agg(F.max_by(F.struct("n_view", "n_click", "n_purchase", "step"), "epoch").alias("r")).select("user_id", "r.*")
-    count = lambda t: F.count_if(F.col("event_type") == t)
-    v, c, p = (f"n_{s}" for s in E.FUNNEL)
-    batch = events.groupBy("user_id").agg(*[count(s).alias(f"n_{s}") for s in E.FUNNEL]).withColumn(
-        "step", F.when(F.col(v) == 0, 0).when(F.col(c) == 0, 1).when(F.col(p) == 0, 2).otherwise(3))
-    assert rows_of(newest) == rows_of(batch)
+    want = {}
+    for user, kind in [(r.user_id, r.event_type) for r in events.orderBy("user_id", "ts").collect()]:
+        own = want.setdefault(user, [0, 0, 0, 0])
+        if kind in E.FUNNEL:
+            own[E.FUNNEL.index(kind)] += 1
+            own[3] += E.FUNNEL.index(kind) == own[3]
+    assert rows_of(newest_steps(out)) == sorted((u, *own) for u, own in want.items())
+
+
+def funnel_of(spark, parts, **how):
+    path = scratch_path(spark, "funnel-drops")
+    for n, part in enumerate(parts):
+        rows = [(n, dt.datetime(2024, 1, d, h), user, kind, 1.0, "{}") for user, kind, d, h in part]
+        spark.createDataFrame(rows, E.EVENT_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+    return E.run_to_table(E.stream_funnel(stream(spark, path), **how), "funnel", mode="update")
+
+
+def test_funnel_goes_by_event_time(spark):
+    out = funnel_of(spark, [
+        # 1 in order, 2 backwards, 3 with a click before the view only, 4 with its view yet to come.
+        [(1, "view", 1, 1), (2, "purchase", 1, 1), (3, "click", 1, 1), (4, "click", 1, 20), (None, "view", 1, 1)],
+        [(1, "click", 1, 21), (2, "click", 1, 21), (3, "view", 1, 21), (4, "purchase", 1, 21)],
+        [(1, "purchase", 1, 22), (2, "view", 1, 22), (3, "purchase", 1, 22), (4, "view", 1, 19), (4, "other", 1, 22)],
+    ], delay="1 day")
+    assert {r["user_id"]: r["step"] for r in newest_steps(out).collect()} == {1: 3, 2: 1, 3: 1, 4: 3, None: 1}
+
+
+def test_funnel_forgets_idle_users(spark):
+    out = funnel_of(spark, [
+        [(1, "view", 1, 1)], [(2, "view", 9, 1)], [(2, "view", 9, 2)], [(1, "click", 10, 1)],
+    ], idle=dt.timedelta(days=2))
+    assert rows_of(newest_steps(out).filter("user_id = 1")) == [(1, 0, 1, 0, 0)]
+
 
 
 def test_sync_takes_newest_change_and_can_be_compacted(spark, frame):
