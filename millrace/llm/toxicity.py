@@ -140,7 +140,7 @@ class Reader:
             if len(memo) > self.limit:
                 memo.clear()
             for chunk in set(chunks).difference(memo):
-                memo[chunk] = [e for e in _entries(chunk) if e in lexicon]
+                memo[chunk] = [e for e in _entries(chunk) if e in lexicon] or ()
             seen = set()
             for entries in filter(None, map(memo.__getitem__, chunks)):
                 for e in entries:
