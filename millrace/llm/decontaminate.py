@@ -4,8 +4,10 @@ The test items are a query set, taken in blocks of bounded size; each block goes
 all tasks and meets all documents. One pass over the texts keeps, of documents that
 hold any n-gram of the block, where it stands. Document counts of these n-grams over
 the whole corpus then tell each item's rare n-grams, its seeds, from phrases of the
-language; rare is meant against the item's own median, so every item that occurs has
-seeds, whether its words are common or a third of all documents hold it.
+language; rare is meant against the item's own median. An item's common n-grams may
+owe their count to its own leaks, so they are seeds as well wherever the words round
+them could reach the threshold in the best of orders; only passages that cannot are
+left out, and no document is lost by how often its n-grams occur.
 Passages round the seeds are aligned with the item, word by word, and the best local
 score over the score of the whole item tells copies, edited or paraphrased ones too.
 
@@ -121,9 +123,8 @@ def choose_seeds(block: Block, seen: dict[int, int], times: int = 8, least: int
     """For each item its rare n-grams, as a mask over the block's places.
 
     Rare is what occurs in at most ``times`` as many documents as the item's median
-    n-gram, of those that occur at all, so phrases of the language fall away while an
-    item that many documents hold, whole or edited, keeps its own n-grams. The
-    ``least`` rarest always stay.
+    n-gram, of those that occur at all. The ``least`` rarest always stay. The others are
+    looked at too, see :func:`_aligned`, but only where enough of the item's words meet.
     """
     import numpy as np
 
@@ -166,8 +167,16 @@ def _aligned(block: Block, keep):
     """Rows of (kept columns, item, score, first and last word of the best passage)."""
     import numpy as np
 
-    order = np.argsort(block.gram[keep], kind="stable")
-    gram, item, at = block.gram[keep][order], block.item[keep][order], block.at[keep][order]
+    order = np.argsort(block.gram, kind="stable")
+    gram, item, at, rare = block.gram[order], block.item[order], block.at[order], keep[order]
+    bags = [np.unique(words, return_counts=True) for words in block.words]
+
+    def enough(i, passage):
+        """Whether the words that item and passage share, in any order, could reach the threshold."""
+        words, times = bags[i]
+        place = np.minimum(np.searchsorted(words, passage), len(words) - 1)
+        shared = np.bincount(place[words[place] == passage], minlength=len(words))
+        return np.minimum(shared, times).sum() >= THRESHOLD * len(block.words[i])
 
     def windows(ids, places, grams):
         """(item, passage start, passage end) round the seeds of one text."""
@@ -180,12 +189,15 @@ def _aligned(block: Block, keep):
         who, begins = item[spot], np.repeat(places, times) - at[spot]
         by = np.lexsort([begins, who])
         who, begins = who[by], begins[by]
+        seeds = np.r_[0, np.cumsum(rare[spot[by]])]
         size = np.array([len(block.words[i]) for i in who])
         new = np.r_[True, (who[1:] != who[:-1]) | (begins[1:] - begins[:-1] > size[1:])]
         firsts = np.flatnonzero(new)
         lasts = np.r_[firsts[1:] - 1, len(who) - 1]
-        return [(int(who[f]), max(0, int(begins[f] - size[f] // 2)), min(len(ids), int(begins[e] + 2 * size[f])))
-                for f, e in zip(firsts, lasts)]
+        found = [(int(who[f]), max(0, int(begins[f] - size[f] // 2)), min(len(ids), int(begins[e] + 2 * size[f])))
+                 for f, e in zip(firsts, lasts)]
+        sure = seeds[lasts + 1] > seeds[firsts]
+        return [(i, a, b) for (i, a, b), seed in zip(found, sure) if seed or enough(i, ids[a:b])]
 
     def run(batches):
         import pyarrow as pa

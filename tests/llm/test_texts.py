@@ -119,6 +119,21 @@ def test_leaks_of_copies_and_edited_copies(spark, block_bytes):
     assert found[2, 0] == found[5, 1] == found[5, 2] == 1.0 and 0.6 < found[9, 3] < 1.0
 
 
+@pytest.mark.parametrize("copies", [8, 50])
+def test_edited_copies_are_found_however_many_there_are(spark, copies):
+    """One whole copy and many equally edited ones: the n-grams left in the edited ones are the item's most common."""
+    item = prose(950, 38)
+    words = item.split()
+    words[::6] = ["other"] * len(words[::6])
+    phrase = " ".join(item.split()[:6])
+    texts = [prose(1, 60) + " " + item] + [f"{prose(2 + i, 60)} {' '.join(words)} {prose(200 + i, 9)}" for i in range(copies)]
+    texts += [f"{prose(400 + i, 60)} {phrase} {prose(600 + i, 40)}" for i in range(80)]
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    rows = decontaminate.leaks(documents(spark, *texts), bench).collect()
+    assert sorted(r["doc_id"] for r in rows) == list(range(copies + 1))
+    assert all(0.6 < r["score"] < 0.9 for r in rows if r["doc_id"])
+
+
 def test_texts_on_odd_and_empty_tables(spark):
     bench = spark.createDataFrame([(1, "ab ab ab ab ab"), (2, None)], "item_id long, text string")
     rows = decontaminate.query(spark, odd(spark), bench).collect()
