@@ -226,21 +226,28 @@ def _cells(entries: DataFrame) -> DataFrame:
     return entries.select("seg", "val", "fp", F.explode(where).alias("_in")).select("seg", "val", "fp", "_in._cell", "_in.probe")
 
 
-def linked(distinct: DataFrame, distance: int = 4, segments: int | None = None, block: int = 1 << 16) -> DataFrame:
+def linked(
+    distinct: DataFrame, distance: int = 4, segments: int | None = None, block: int = 1 << 16,
+    radius: int | None = None, entries_of=_entries, links_of=_links,
+) -> DataFrame:
     """Links ``u``, ``v`` that connect the distinct fingerprints ``fp`` exactly as all pairs within ``distance`` do.
 
+    That holds for the radius distance // segments; a smaller ``radius`` finds those of
+    the pairs that differ in at most so many bits in one segment.
+
     ``segments`` only trades look-ups for table sizes: three suit up to some ten
     million fingerprints, two suit more.
     """
     if segments is None:
         segments = 3 if distinct.count() < 1 << 26 else 2
-    shape = "seg int, val long, fp long, probe boolean"
-    radius = distance // segments
-    entries = distinct.select("fp").mapInArrow(_entries(segments, radius), shape).withColumn("_cell", F.lit(0).cast("long"))
+    kind = distinct.schema["fp"].dataType.simpleString()
+    shape = f"seg int, val long, fp {kind}, probe boolean"
+    radius = distance // segments if radius is None else radius
+    entries = distinct.select("fp").mapInArrow(entries_of(segments, radius), shape).withColumn("_cell", F.lit(0).cast("long"))
     masks = [(seg, mask) for seg, (_, width) in enumerate(_segments(segments)) for mask in _masks(width, radius)]
     # An entry none of whose neighbours is crowded gets at most ``block`` look-ups.
     crowded = block // max(1, len(masks) // segments)
-    stored = distinct.select("fp").mapInArrow(_entries(segments, 0), shape).groupBy("seg", "val").agg(F.count("*").alias("n"))
+    stored = distinct.select("fp").mapInArrow(entries_of(segments, 0), shape).groupBy("seg", "val").agg(F.count("*").alias("n"))
     large = materialize(stored.filter(F.col("n") > crowded), "large")
     if large.limit(1).count():
         balls = distinct.sparkSession.createDataFrame([*masks, (-1, 0)], "seg int, mask long")
@@ -253,7 +260,7 @@ def linked(distinct: DataFrame, distance: int = 4, segments: int | None = None,
     # One number for an entry and cell; equal numbers of different entries cost a comparison, never a link.
     entry = F.xxhash64("seg", "val", "_cell")
     ordered = entries.select(entry.alias("entry"), "fp", "probe").repartition("entry").sortWithinPartitions("entry", "probe")
-    return ordered.mapInArrow(_links(distance), "u long, v long")
+    return ordered.mapInArrow(links_of(distance), f"u {kind}, v {kind}")
 
 
 def groups(marks: DataFrame, distance: int = 4) -> DataFrame:
@@ -284,16 +291,17 @@ def query(spark, docs: DataFrame) -> DataFrame:
 
 
 def keep_one(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with one row of each near-duplicate group: that of the smallest id.
+    """The documents with one row of each group of near copies: that of the smallest id.
 
+    Near copies share 0.8 or more of their runs of five words, see ``near_copies``; the
+    query's settings are not the stage's.
     Of repeated rows with that id the one that stands first in the files stays (files
     in order of a hash of their path); groups without any id keep their first row.
     """
+    from millrace.llm.near_copies import near_copies
+
     placed, place = with_place(docs)
-    marks = materialize(fingerprints(placed, [place, "doc_id"]).withColumnRenamed(place, "place"), "fingerprints")
-    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "place")
-    first = marks.groupBy("fp").agg(F.min(order).alias("first"))
-    kept = first.join(groups(marks), "fp").groupBy("root").agg(F.min("first").alias("first"))
-    kept = materialize(kept.select(F.col("first.place").alias(place)), "kept")
+    order = [F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col(place).alias("place")]
+    kept = materialize(near_copies(placed, place, "place", order).select(F.col("first.place").alias(place)), "kept")
     # Kept rows grow with the input: the same shuffled join at every size.
     return placed.join(kept.hint("merge"), place, "left_semi").select(*[placed[c] for c in docs.columns])
