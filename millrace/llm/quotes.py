@@ -1,8 +1,8 @@
 """Quotation linking: reply-ordered conversations without quotes.
 
 Each message is parsed into its own text and its quoted passages by nested level (the
-number of leading ``>``). Passages and their lines are normalised and hashed, and meet
-the hashed lines and texts of the messages that first said them. A message replies to
+number of leading ``>``). Passages, their paragraphs and lines are normalised and hashed,
+so a re-wrapped paragraph is still known, and meet the hashed lines, paragraphs and texts of the messages that first said them. A message replies to
 the earlier message of its conversation that most of its level-1 quotes come from;
 deeper levels show the ancestors and are linked likewise. Messages that reply to one
 another form a thread, found by pointer jumping, and a conversation is ordered by
@@ -63,11 +63,13 @@ def normalised(line: str) -> str:
 
 
 def hashes(lines: list[str]) -> set[int]:
-    """Signed 64-bit hashes of the normalised lines and of the passage they make up."""
+    """Signed 64-bit hashes of the normalised lines, paragraphs (runs of lines between blank ones) and whole passage."""
+    from itertools import groupby
+
     from xxhash import xxh64_intdigest
 
-    whole = normalised(" ".join(lines))
-    said = {n for line in lines if (n := normalised(line))} | ({whole} if whole else set())
+    paragraphs = [" ".join(own) for filled, own in groupby(lines, lambda line: bool(line.strip())) if filled]
+    said = {n for part in (*lines, *paragraphs, " ".join(lines)) if (n := normalised(part))}
     return {h - (1 << 64) if (h := xxh64_intdigest(s.encode("utf-8", "surrogatepass"))) >> 63 else h for s in said}
 
 

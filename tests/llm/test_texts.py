@@ -163,6 +163,14 @@ def test_quotes_link_to_who_said_them(spark):
     assert not any(">" in r["text"] for r in got)
 
 
+def test_rewrapped_paragraphs_of_a_longer_message_are_linked(spark):
+    said = "One thing is that\nthe first part runs on.\n\nAnother thing is\nhow the second\npart goes.\n\nA third part."
+    reply = "> One thing\n> is that the first part runs\n> on.\n>\n> Another thing is how\n> the second part goes.\n\nI agree."
+    rows = [(1, 0, "a", said), (1, 1, "b", "Something else."), (1, 2, "c", reply)]
+    found = quotes.query(spark, spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    assert {r["turn"]: r["reply_to"] for r in found} == {0: None, 1: None, 2: 0}
+
+
 def test_one_long_conversation_keeps_its_order(spark):
     n = 700
     rows = [(1, i, "u", f"> line {i - 2}\nline {i}" if i >= 2 and i % 2 == 0 else f"line {i}") for i in range(n)]
