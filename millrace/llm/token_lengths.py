@@ -70,7 +70,19 @@ def limits(hist: DataFrame) -> DataFrame:
     return over.select(
         F.col("n_tokens").alias("context_limit"), "n_docs", "docs_over", "tokens_over",
         kept.alias("tokens_kept"), (tokens - kept).alias("tokens_cut"),
-        ((docs - F.col("docs_over")) / docs).alias("share_whole"))
+        F.try_divide(docs - F.col("docs_over"), docs).alias("share_whole"))
+
+
+def answer(hist: DataFrame, context_limits: list[int]) -> DataFrame:
+    """The totals of :func:`limits` for any given limits, whether or not a document has such a length.
+
+    The limits join the histogram as lengths of no documents, so nothing else changes;
+    an empty histogram keeps no tokens and has no share.
+    """
+    wanted = hist.sparkSession.createDataFrame([(int(x),) for x in sorted(set(context_limits))], "n_tokens long")
+    cells = hist.select("n_tokens", "n_docs").unionByName(wanted.withColumn("n_docs", F.lit(0).cast("long")))
+    found = limits(cells.groupBy("n_tokens").agg(F.sum("n_docs").alias("n_docs")))
+    return found.join(F.broadcast(wanted), F.col("context_limit") == F.col("n_tokens"), "left_semi")
 
 
 def quantile(hist: DataFrame, q: float):

@@ -82,6 +82,19 @@ def test_lengths_against_brute_force(spark):
     assert token_lengths.quantile(hist, 0.5) == np.sort(sizes)[int(np.ceil(0.5 * len(sizes))) - 1]
 
 
+def test_any_limit_is_answered(spark):
+    lengths = [0, 3, 3, 10, 700, 5000]
+    hist = spark.createDataFrame([(n, lengths.count(n)) for n in set(lengths)], "n_tokens long, n_docs long")
+    rows = {r["context_limit"]: r for r in token_lengths.answer(hist, [1, 3, 2048, 4096, 9999, 2048]).collect()}
+    assert set(rows) == {1, 3, 2048, 4096, 9999}
+    for limit, r in rows.items():
+        kept = sum(min(n, limit) for n in lengths)
+        assert (r["n_docs"], r["docs_over"], r["tokens_kept"], r["tokens_cut"]) == (
+            lengths.count(limit), sum(n > limit for n in lengths), kept, sum(lengths) - kept)
+        assert r["share_whole"] == pytest.approx(sum(n <= limit for n in lengths) / len(lengths))
+    assert token_lengths.answer(hist.limit(0), [5]).first()["share_whole"] is None
+
+
 def test_lengths_on_odd_and_empty_tables(spark):
     assert sum(r["n_docs"] for r in token_lengths.query(spark, odd(spark)).collect()) == 9
     assert token_lengths.query(spark, odd(spark).limit(0)).collect() == []
