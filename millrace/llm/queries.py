@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm import (
-    decontaminate, packing, pii, quality_model, quality_rules, quotes, sharding, simhash, token_lengths, toxicity,
+    decontaminate, kmeans_tree, lexical_search, merkle, packing, pii, quality_model, quality_rules, quotes, sharding, simhash,
+    token_lengths, toxicity,
 )
 from millrace.llm.common import read
 from millrace.session import prepare
@@ -37,3 +38,6 @@ _register("op9_toxicity", toxicity.query, "documents", "labels")
 _register("op2_pii", pii.query, "documents")
 _register("op4_decontamination", decontaminate.query, "documents", "benchmark")
 _register("op7_quote_linking", quotes.query, "conversations")
+_register("op11_lexical_search", lexical_search.query, "documents", "benchmark", sql=lexical_search.check_sql())
+_register("op12_merkle_manifest", merkle.query, "documents", sql=merkle.check_sql())
+_register("op13_kmeans_tree", kmeans_tree.query, "embeddings")
