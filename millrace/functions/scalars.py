@@ -27,6 +27,15 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def nan_as_null(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """``df`` with null for NaN in the floating columns (of ``cols``): both mean that the value is missing."""
+    cols = df.columns if cols is None else cols
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    return df.withColumns({
+        c: F.nanvl(F.col(f"`{c}`"), F.lit(None).cast(kinds[c]))
+        for c in cols if isinstance(kinds[c], (T.DoubleType, T.FloatType))})
+
+
 def pct_to_double(c) -> Column:
     """``' 13.5%'`` → 13.5; text that is not a number gives null."""
     return F.regexp_replace(F.trim(_c(c)), "%", "").try_cast("double")

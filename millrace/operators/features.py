@@ -9,20 +9,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.hashing import hash_below
+from millrace.functions.scalars import nan_as_null
 from millrace.operators.profile import corr_matrix
-from millrace.operators.ranking import running_total
+from millrace.operators.ranking import label_codes
 from millrace.session import materialize
 
 
 MAP_DOMAIN = 256
 
 
-def label_codes(df: DataFrame, c: str, buckets: int = 64) -> DataFrame:
-    """(value, code): the distinct values in sorted order, numbered from 0."""
-    values = df.select(c).filter(F.col(c).isNotNull()).distinct().withColumn("_one", F.lit(1).cast("long"))
-    return running_total(values, c, ["_one"], buckets=buckets).select(c, F.col("_one_before").alias("code"))
-
-
 def label_encode(df: DataFrame, c: str, out: str | None = None, buckets: int = 64) -> DataFrame:
     """Replace (or add as ``out``) the sorted-order code of a column; null stays null.
 
@@ -70,37 +65,37 @@ def finalise(df: DataFrame, label: str, features: str = "features", keep: list[s
 
 @dataclass
 class MeanImputer:
-    """Column means as doubles; ``empty`` lists the columns that had no value at all."""
+    """Column means of the known values, as doubles; ``empty`` lists the columns that had none. NaN is missing, like null."""
 
     means: dict[str, float]
     empty: list[str]
 
     @classmethod
     def fit(cls, df: DataFrame, cols: list[str]) -> "MeanImputer":
-        row = df.agg(*[F.avg(c).alias(c) for c in cols]).first().asDict()
+        row = nan_as_null(df.select(*cols)).agg(*[F.avg(c).alias(c) for c in cols]).first().asDict()
         return cls({c: v for c, v in row.items() if v is not None}, [c for c, v in row.items() if v is None])
 
     def transform(self, df: DataFrame) -> DataFrame:
-        filled = df.withColumns({
+        filled = nan_as_null(df, list(self.means)).withColumns({
             c: F.coalesce(F.col(c).cast("double"), F.lit(m)) for c, m in self.means.items()})
         return filled.drop(*self.empty)
 
 
 @dataclass
 class StandardScale:
-    """Zero mean and unit population deviation; a constant column is only centred."""
+    """Zero mean and unit population deviation; a constant column is only centred. Missing values, null or NaN, stay null."""
 
     mean: dict[str, float]
     scale: dict[str, float]
 
     @classmethod
     def fit(cls, train: DataFrame, cols: list[str]) -> "StandardScale":
-        row = train.agg(
+        row = nan_as_null(train.select(*cols)).agg(
             *[F.avg(c).alias(f"m_{c}") for c in cols], *[F.stddev_pop(c).alias(f"s_{c}") for c in cols]).first()
         return cls({c: row[f"m_{c}"] for c in cols}, {c: row[f"s_{c}"] or 1.0 for c in cols})
 
     def transform(self, df: DataFrame) -> DataFrame:
-        return df.withColumns({
+        return nan_as_null(df, list(self.mean)).withColumns({
             c: (F.col(c).cast("double") - F.lit(m)) / F.lit(self.scale[c]) for c, m in self.mean.items()})
 
 
@@ -145,11 +140,15 @@ def balanced_weights(df: DataFrame, label: str) -> DataFrame:
 def with_class_weight(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
     """Add the balanced class weight to every labelled row.
 
-    The weights of up to 1000 classes become a literal map: a class of half the
-    rows then costs no shuffle.
+    A number of classes measured to be small becomes a literal map: a class of half the
+    rows then costs no shuffle. More classes are joined as a stored table.
     """
-    rows = balanced_weights(df, label).limit(1001).collect()
-    if len(rows) > 1000:
-        raise ValueError(f"{label} has more than 1000 classes")
-    weights = F.create_map(*[F.lit(v) for r in rows for v in (r[label], r["weight"])])
-    return df.withColumn(name, F.try_element_at(weights, F.col(label))).filter(F.col(name).isNotNull())
+    weights = balanced_weights(df, label)
+    rows = weights.limit(MAP_DOMAIN + 1).collect()
+    if len(rows) <= MAP_DOMAIN:
+        pairs = [F.lit(v) for r in rows for v in (r[label], r["weight"])]
+        if not pairs:
+            return df.withColumn(name, F.lit(None).cast("double")).filter(F.lit(False))
+        return df.withColumn(name, F.try_element_at(F.create_map(*pairs), F.col(label))).filter(F.col(name).isNotNull())
+    stored = materialize(weights.select(F.col(label).alias("_class"), F.col("weight").alias("_weight")), "weights")
+    return df.join(stored, F.col(label) == F.col("_class")).select(*[df[c] for c in df.columns if c != name], F.col("_weight").alias(name))

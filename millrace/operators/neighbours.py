@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.hashing import hash32
+from millrace.operators import ann_index
 from millrace.session import materialize
 
 BLOCK_BASE = 8192
@@ -322,13 +323,16 @@ def ann(
     queries: DataFrame, base: DataFrame, k: int = 5, *, q_id: str, q_vec: str, b_id: str, b_vec: str,
     metric: str = "cosine", exclude_self: bool = False, cells: int | None = None, probes: int | None = None,
 ) -> DataFrame:
-    """Approximate k nearest neighbours: each query searches its ``probes`` nearest cells only.
+    """Approximate k nearest neighbours. The query ids must be unique.
 
-    The base is cut into cells around sampled pivots, by default about as many
-    as the root of its size; work per query is about probes / cells of an exact
-    search. By default an eighth of the cells is searched, at least 8. The query
-    ids must be unique.
+    By default over an index in two levels of cells with product codes, whose number of
+    visited cells is measured (see ``ann_index``, which also keeps an index for many
+    searches). With ``cells`` or ``probes`` given, over one level of cells round sampled
+    pivots: each query searches its ``probes`` nearest cells in full.
     """
+    if cells is None and probes is None:
+        index = ann_index.build(base, key=b_id, vec=b_vec, metric=metric, k=k)
+        return ann_index.search(index, queries, k, key=q_id, vec=q_vec, exclude_self=exclude_self)
     q, x = _vectors(queries, q_id, q_vec), _vectors(base, b_id, b_vec)
     pivots = _pivots(x, _cell_count(x, cells), metric)
     probes = probes or max(8, -(-len(pivots) // 8))

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.hashing import hash_below
-from millrace.operators.ranking import quantiles
+from millrace.functions.scalars import nan_as_null
+from millrace.operators.ranking import label_codes, quantiles
 from millrace.session import materialize
 
 
@@ -38,22 +39,62 @@ def group_count(df: DataFrame, keys: list[str], c: str, name: str = "n") -> Data
     return df.dropna(subset=keys).groupBy(*keys).agg(F.count(c).alias(name))
 
 
-def domain(df: DataFrame, c: str, limit: int = 1000) -> list:
-    """Sorted distinct values of a column that becomes columns; fails beyond ``limit``."""
+#: So many values of a column become columns of their own; more become sparse vectors.
+WIDE = 1000
+#: Codes that one row of a sparse crosstab covers.
+SPAN = 1 << 16
+
+
+def domain(df: DataFrame, c: str, limit: int = WIDE) -> list | None:
+    """Sorted distinct known values of a column, or None where there are more than ``limit``."""
     values = [r[0] for r in df.select(c).filter(F.col(c).isNotNull()).distinct().limit(limit + 1).collect()]
-    if len(values) > limit:
-        raise ValueError(f"{c} has more than {limit} values: too many for columns")
-    return sorted(values)
+    return sorted(values) if len(values) <= limit else None
+
 
+def crosstab(df: DataFrame, a: str, b: str, values: list | None = None, limit: int = WIDE) -> DataFrame:
+    """Counts of ``a`` × ``b`` with one column per value of ``b``; absent pairs are 0.
 
-def crosstab(df: DataFrame, a: str, b: str, values: list | None = None) -> DataFrame:
-    """Counts of ``a`` × ``b`` with one column per value of ``b``; absent pairs are 0."""
-    values = domain(df, b) if values is None else values
+    More than ``limit`` values are too many for columns: the rows are then those of
+    :func:`crosstab_sparse`, which any number of values fits.
+    """
+    values = domain(df, b, limit) if values is None else values
+    if values is None:
+        return crosstab_sparse(df, a, b)[0]
     return df.filter(F.col(a).isNotNull()).groupBy(a).agg(*[
         F.count_if(F.col(b) == v).alias(str(v)) for v in values
     ])
 
 
+def crosstab_long(df: DataFrame, a: str, b: str) -> DataFrame:
+    """``a``, ``b``, ``n`` of every pair that occurs, and the margins.
+
+    ``margin`` says what a row counts: a pair ("none"), all of one value ("a" or
+    "b", the other column is null), or everything ("all"). Nulls are not counted.
+    """
+    pairs = materialize(df.filter(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(a, b).agg(F.count("*").alias("n")), "pairs")
+    # The margins add up the pairs, so the table is read once however many rows a value has.
+    sums = pairs.rollup(a, b).agg(F.sum("n").alias("n"), F.grouping_id().alias("_g")).filter("_g > 0")
+    named = F.when(F.col("_g") == 3, "all").otherwise("a")
+    other = pairs.groupBy(b).agg(F.sum("n").alias("n")).select(F.lit(None).cast(df.schema[a].dataType).alias(a), b, "n", F.lit("b").alias("margin"))
+    return pairs.withColumn("margin", F.lit("none")).unionByName(
+        sums.select(a, b, "n", named.alias("margin"))).unionByName(other)
+
+
+def crosstab_sparse(df: DataFrame, a: str, b: str, span: int = SPAN) -> tuple[DataFrame, DataFrame]:
+    """Counts of ``a`` × ``b`` as sparse vectors, and the dictionary (``b``, ``code``) of their indices.
+
+    Codes number the values of ``b`` in order. A row holds the counts of one value of
+    ``a`` for one ``block`` of ``span`` codes: ``codes`` in order with their ``counts``, and their
+    ``total``. A row is bounded by the span, whatever the number of values or rows.
+    """
+    pairs = materialize(df.filter(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(a, b).agg(F.count("*").alias("n")), "pairs")
+    codes = materialize(label_codes(pairs, b), "codes")
+    coded = pairs.join(codes.withColumnRenamed(b, "_b"), F.col(b) == F.col("_b"))
+    block = F.floor(F.col("code") / span).cast("long").alias("block")
+    rows = coded.groupBy(a, block).agg(F.array_sort(F.collect_list(F.struct("code", "n"))).alias("_in"), F.sum("n").alias("total"))
+    return rows.select(a, "block", F.col("_in.code").alias("codes"), F.col("_in.n").alias("counts"), "total"), codes
+
+
 def rate(df: DataFrame, pred: Column, by: list[str] | None = None, name: str = "rate") -> DataFrame:
     """Percent of rows for which ``pred`` holds, overall or per group."""
     share = (F.avg(F.when(pred, 1.0).otherwise(0.0)) * 100).alias(name)
@@ -136,8 +177,8 @@ def density(df: DataFrame, c: str, points: int = 32) -> DataFrame:
 
 
 def describe(df: DataFrame, cols: list[str], buckets: int = 64) -> DataFrame:
-    """count, mean, sample std, min, quartiles and max, one row per column."""
-    wide = materialize(df.select([F.col(c).cast("double").alias(c) for c in cols]), "described")
+    """count, mean, sample std, min, quartiles and max of the known values, one row per column."""
+    wide = materialize(nan_as_null(df.select([F.col(c).cast("double").alias(c) for c in cols])), "described")
     long = wide.unpivot([], cols, "column", "value")
     figures = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
     # One row of figures for all columns; the rows are not multiplied by the columns for it.
@@ -153,15 +194,15 @@ def _per_column(df: DataFrame, cols: list[str], agg, value: str) -> DataFrame:
 
 
 def info(df: DataFrame) -> DataFrame:
-    """Type and non-null count of every column."""
+    """Type and number of known values of every column."""
     types = F.create_map(*[F.lit(x) for f in df.schema.fields for x in (f.name, f.dataType.simpleString())])
-    return _per_column(df, df.columns, F.count, "non_null").withColumn("type", types[F.col("column")])
+    return _per_column(nan_as_null(df), df.columns, F.count, "non_null").withColumn("type", types[F.col("column")])
 
 
 def missing(df: DataFrame) -> DataFrame:
-    """Null count and percent of the columns that have nulls, most first."""
+    """Count and percent of missing values of the columns that have any, most first."""
     n_rows = "_rows"
-    wide = df.agg(F.count("*").alias(n_rows), *[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
+    wide = nan_as_null(df).agg(F.count("*").alias(n_rows), *[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
     return (
         wide.unpivot([n_rows], df.columns, "column", "total")
         .filter("total > 0")
@@ -207,8 +248,7 @@ def corr_matrix(df: DataFrame, cols: list[str], absolute: bool = False) -> DataF
     sums per pair, whatever its number of rows.
     """
     d = len(cols)
-    # NaN counts as unknown, like null.
-    df = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in cols])
+    df = nan_as_null(df.select(*[F.col(c).cast("double").alias(c) for c in cols]))
     row = df.agg(
         *[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)],
         *[F.stddev_pop(F.col(c).cast("double")).alias(f"s{i}") for i, c in enumerate(cols)]).first()
@@ -247,16 +287,16 @@ def corr_matrix(df: DataFrame, cols: list[str], absolute: bool = False) -> DataF
 
 
 def corr_with(df: DataFrame, target: str, cols: list[str]) -> DataFrame:
-    """Pearson r of every column with the target, largest first."""
+    """Pearson r of every column with the target, largest first, over the rows where both are known."""
     return (
-        df.agg(*[_corr(c, target).alias(c) for c in cols])
+        nan_as_null(df.select(*dict.fromkeys([target, *cols]))).agg(*[_corr(c, target).alias(c) for c in cols])
         .unpivot([], cols, "column", "r").orderBy(F.desc_nulls_last("r"), "column")
     )
 
 
 def variances(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Sample variance per column."""
-    return _per_column(df, cols, F.var_samp, "variance")
+    """Sample variance of the known values per column."""
+    return _per_column(nan_as_null(df.select(*cols)), cols, F.var_samp, "variance")
 
 
 def top_variance(df: DataFrame, cols: list[str], n: int) -> DataFrame:

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.scalars import month_no, pct_change, trend_label
-from millrace.operators.profile import corr_with, domain, top_variance
+from millrace.operators.profile import WIDE, corr_with, domain, top_variance
+from millrace.operators.ranking import label_codes
+from millrace.session import materialize
 
 
 def sort_by_month(df: DataFrame, c: str) -> DataFrame:
@@ -97,18 +100,46 @@ def melt(df: DataFrame, ids: list[str], values: list[str], var: str, value: str)
     return df.unpivot(ids, values, var, value)
 
 
-def one_hot(df: DataFrame, cols: list[str], limit: int = 1000) -> DataFrame:
+def one_hot(df: DataFrame, cols: list[str], limit: int = WIDE) -> DataFrame:
     """Replace each column by 0/1 columns ``<col>_<value>``, values sorted, none left out.
 
-    Null gives 0 everywhere.
+    Null gives 0 everywhere. Where a column has more than ``limit`` values, all become one
+    sparse vector instead, see :func:`one_hot_sparse`.
     """
     domains = {c: domain(df, c, limit) for c in cols}
+    if None in domains.values():
+        return one_hot_sparse(df, cols)[0]
     dummies = [
         F.when(F.col(c) == v, 1).otherwise(0).alias(f"{c}_{v}") for c in cols for v in domains[c]
     ]
     return df.select(*[c for c in df.columns if c not in cols], *dummies)
 
 
+def one_hot_sparse(df: DataFrame, cols: list[str], out: str = "features") -> tuple[DataFrame, DataFrame]:
+    """Replace the columns by one 0/1 vector, sparse unless it is short, and the dictionary (``column``, ``value``, ``index``) of its places.
+
+    The places of a column's values, in order, follow those of the columns before it; null
+    sets none. Values are numbered and looked up as stored tables, so there may be as many
+    as a vector can be long.
+    """
+    coded, words, at, numbers = df, None, 0, []
+    for i, c in enumerate(cols):
+        codes = materialize(label_codes(df, c), "codes")
+        size = codes.count()
+        own = codes.select(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"), (F.col("code") + at).alias("index"))
+        words = own if words is None else words.unionByName(own)
+        coded = coded.join(codes.toDF(f"_value{i}", f"_code{i}"), F.col(c) == F.col(f"_value{i}"), "left")
+        # One place past the last stands for null; the encoder leaves it out.
+        coded = coded.withColumn(f"_code{i}", F.coalesce(f"_code{i}", F.lit(size)).cast("double")).drop(f"_value{i}")
+        numbers.append(float(size))
+        at += size
+    names, vectors = ([f"_{kind}{i}" for i in range(len(cols))] for kind in ("code", "one"))
+    last = df.sparkSession.createDataFrame([numbers], ", ".join(f"{n} double" for n in names))
+    encoded = OneHotEncoder(inputCols=names, outputCols=vectors, dropLast=True).fit(last).transform(coded)
+    vector = VectorAssembler(inputCols=vectors, outputCol=out).transform(encoded.drop(*cols))
+    return vector.select(*[c for c in df.columns if c not in cols], out), words
+
+
 def explode_numbered(df: DataFrame, c: str, pos: str, value: str) -> DataFrame:
     """One row per array element with its position from 0; rows without elements vanish.
 

@@ -60,6 +60,22 @@ def test_index_and_encode_keep_unseen(frame):
     assert {len(r.v_index_vec) for r in vec.collect()} == {4}
 
 
+def test_nan_is_missing_to_imputer_and_scale(frame):
+    nan = float("nan")
+    df = frame("a double, b double", (1.0, nan), (2.0, nan), (3.0, nan), (nan, nan))
+    imp = M.MeanImputer.fit(df, ["a", "b"])
+    assert imp.empty == ["b"] and rows_of(imp.transform(df)) == [(1.0,), (2.0,), (2.0,), (3.0,)]
+    scaled = rows_of(M.StandardScale.fit(df, ["a"]).transform(df), "a")
+    assert scaled == [(None,), (pytest.approx(-1.5 ** 0.5),), (0.0,), (pytest.approx(1.5 ** 0.5),)]
+
+
+def test_weights_of_many_classes(spark):
+    df = spark.range(30_000).selectExpr("id", "id % 3000 as y").unionByName(spark.sql("SELECT 1L AS id, NULL AS y"))
+    got = M.with_class_weight(df, "y")
+    assert got.columns == ["id", "y", "weight"] and got.count() == 30_000 and {r[0] for r in got.select("weight").distinct().collect()} == {1.0}
+    assert M.with_class_weight(df.limit(0), "y").count() == 0
+
+
 def test_impute_keeps_doubles_and_reports_empty(frame):
     df = frame("a int, b double, c double", (1, None, None), (2, 4.0, None), (None, 6.0, None))
     imp = M.MeanImputer.fit(df, ["a", "b", "c"])

@@ -32,9 +32,38 @@ def test_crosstab_and_rate(frame):
     assert rows_of(A.rate(df, F.col("y") == "yes", ["a"])) == [("x", 50.0), ("z", 0.0)]
 
 
-def test_domain_refuses_wide_columns(frame):
-    with pytest.raises(ValueError):
-        A.domain(frame("v int", *[(i,) for i in range(5)]), "v", limit=4)
+def test_crosstab_of_many_values(spark, frame):
+    df = frame("a string, v int", *[("x", i) for i in range(5)], ("x", 3), ("y", 4), ("x", None), (None, 2))
+    rows, codes = A.crosstab_sparse(df, "a", "v", span=3)
+    assert rows_of(codes) == [(i, i) for i in range(5)]
+    want = [("x", 0, [0, 1, 2], [1, 1, 1], 3), ("x", 1, [3, 4], [2, 1], 3), ("y", 1, [4], [1], 1)]
+    assert rows_of(rows) == want
+    assert A.domain(df, "v", limit=4) is None
+    assert A.crosstab(df, "a", "v", limit=4).columns == ["a", "block", "codes", "counts", "total"]
+    assert [r for r in rows_of(A.crosstab_long(df, "a", "v")) if r[3] != "none"] == [
+        (None, None, 7, "all"), *[(None, i, n, "b") for i, n in enumerate([1, 1, 1, 2, 2])], ("x", None, 6, "a"), ("y", None, 1, "a")]
+    wide = spark.range(100_000).selectExpr("id % 3 as a", "id as v")
+    rows, codes = A.crosstab_sparse(wide, "a", "v")
+    assert codes.count() == 100_000 and rows.agg(F.sum("total"), F.max(F.size("codes"))).first()[0] == 100_000
+    empty = df.limit(0)
+    assert not A.crosstab_sparse(empty, "a", "v")[0].count() and not A.crosstab_long(empty, "a", "v").filter("n > 0").count()
+
+
+def test_nan_is_missing(spark):
+    """The figures of pandas, for which NaN and None are one."""
+    nan = float("nan")
+    rows = [(1.0, nan, 2.0, 1.0), (2.0, 3.0, None, 2.5), (3.0, nan, 7.0, 2.0), (nan, 5.0, 1.0, 4.0), (None, 9.0, 4.0, 3.5)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, y double").withColumn("f", F.col("b").cast("float"))
+    pdf = df.toPandas().astype(float)
+    cols = ["a", "b", "c", "f"]
+    told = {r["column"]: r for r in A.describe(df, cols).collect()}
+    for c, want in pdf[cols].describe().items():
+        assert [told[c][n] for n in ("count", "mean", "std", "min", "q1", "median", "q3", "max")] == pytest.approx(want.tolist())
+    assert {r["column"]: r["total"] for r in A.missing(df).collect()} == {c: n for c, n in pdf.isna().sum().items() if n}
+    assert {r["column"]: r["non_null"] for r in A.info(df).collect()} == pdf.count().to_dict()
+    assert {r["column"]: r["r"] for r in A.corr_with(df, "y", cols).collect()} == pytest.approx({c: pdf[c].corr(pdf["y"]) for c in cols})
+    variances = pdf[cols].var().sort_values(ascending=False, kind="stable")
+    assert [r["variance"] for r in A.top_variance(df, cols, 3).collect()] == pytest.approx(variances[:3].tolist())
 
 
 def test_histogram_edges_and_constant(frame):
@@ -172,6 +201,18 @@ def test_one_hot_and_melt(frame):
     assert rows_of(back) == rows_of(hot)
 
 
+def test_one_hot_of_many_values(spark, frame):
+    df = frame("id int, c string, d int", (1, "b", 7), (2, "a", None), (3, None, 9))
+    hot, words = R.one_hot_sparse(df, ["c", "d"])
+    places = lambda rows: {r["id"]: (r["features"].size, r["features"].toArray().nonzero()[0].tolist()) for r in rows.collect()}
+    assert places(hot) == {1: (4, [1, 2]), 2: (4, [0]), 3: (4, [3])} and hot.columns == ["id", "features"]
+    assert rows_of(words) == [("c", "a", 0), ("c", "b", 1), ("d", "7", 2), ("d", "9", 3)]
+    assert places(R.one_hot(df, ["c", "d"], limit=1)) == places(hot)
+    wide = spark.range(100_000).selectExpr("id", "concat('v', id) as c")
+    hot, words = R.one_hot_sparse(wide, ["c"])
+    assert words.count() == 100_000 and {v.features.size for v in hot.limit(5).collect()} == {100_000}
+
+
 def test_ranked_breaks_ties(frame):
     df = frame("q int, s double, id int", (1, 0.5, 3), (1, 0.5, 2), (1, 0.9, 7))
     assert rows_of(R.ranked(df, "q", "s", "id", k=2), "id", "rank") == [(2, 2), (7, 1)]
