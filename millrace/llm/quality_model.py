@@ -1,6 +1,7 @@
 """Quality classifier: histogram gradient-boosted trees over document statistics.
 
-The statistics are Spark's own counts of every text (see ``quality_rules.measure``).
+The statistics are those that ``quality_rules.measure`` counts, counted here by one pass
+of byte operations and numpy over each text (the tests hold both against each other).
 Trees are grown on a bounded sample of labelled rows: each statistic is cut into at
 most 64 bins at its quantiles, gradients are summed per node and bin, and each level
 takes the best split of every node. All trees are flattened into five arrays, and
@@ -19,9 +20,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import id_remainder
+from millrace.llm.common import BLANKS, id_remainder, utf8
 from millrace.llm.labelled import label_sample, labelled_documents
-from millrace.llm.quality_rules import measure
+from millrace.llm.quality_rules import STOP_WORDS, SYMBOLS, WINDOW
 
 DIVISOR, HELD = 5, 0
 THRESHOLD = 0.3
@@ -31,6 +32,90 @@ COUNTS = [
 ]
 
 
+def _repeated(words: list[bytes]) -> int:
+    """Words covered by windows that occur twice or more in the text."""
+    import numpy as np
+
+    if len(words) <= WINDOW:
+        return 0
+    number = {}
+    runs = np.array([number.setdefault(w, len(number)) for w in words], "i8")
+    if len(number) == len(words):
+        return 0
+    # Runs of 2, 4 and 8 words get exact numbers from those of their halves.
+    width = 1
+    while width < WINDOW:
+        runs = np.unique(runs[:-width] * len(words) + runs[width:], return_inverse=True)[1]
+        width *= 2
+    twice = np.bincount(runs)[runs] > 1
+    edges = np.zeros(len(words) + 1, "i8")
+    starts = np.flatnonzero(twice)
+    edges[starts] += 1
+    edges[starts + WINDOW] -= 1
+    return int((np.cumsum(edges) > 0).sum())
+
+
+def _counter():
+    """``count(text)``: the ``COUNTS`` of one UTF-8 text."""
+    import unicodedata
+
+    every = lambda characters: characters.encode()
+    blanks, symbols, plain = every(BLANKS), every(SYMBOLS), bytes(range(128))
+    upper = bytes(range(65, 91))
+    stop, known = set(STOP_WORDS), {}
+
+    def is_stop(word: bytes) -> bool:
+        found = known.get(word)
+        if found is None:
+            if len(known) > 500_000:
+                known.clear()
+            found = known[word] = word.rstrip(b".,").decode("utf-8", "replace").lower() in stop
+        return found
+
+    def is_open(line: bytes) -> bool:
+        end = line.rstrip(b" ").decode("utf-8", "replace")
+        # A pattern's end of line may stand before one last separator.
+        end = end[:-1] if end[-1:] in ("\r", "\x85", "\u2028", "\u2029") else end
+        return end.endswith(("...", "\u2026"))
+
+    def count(text: bytes) -> list[int]:
+        without = lambda characters: len(text) - len(text.translate(None, characters))
+        wide = text.translate(None, plain).decode("utf-8", "replace")
+        chars = without(plain) + len(wide)
+        words, lines = text.split(), [x for x in text.split(b"\n") if x.strip()]
+        return [
+            chars, len(words), chars - without(blanks), without(symbols), len(lines), len(lines) - len(set(lines)), _repeated(words),
+            sum(map(is_stop, words)), len(set(words)), without(upper) + sum(unicodedata.category(c) == "Lu" for c in wide),
+            without(b"0123456789"), without(b"!?"), without(b".,"),
+            sum(x.lstrip(b" ").startswith((b"- ", b"* ", every("\u2022 "))) for x in lines), sum(map(is_open, lines)),
+        ]
+
+    return count
+
+
+def _counted():
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        count = _counter()
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                found = np.array([count(t) for t in utf8(part.columns[-1])], "i8").reshape(-1, len(COUNTS))
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns[:-1], *map(pa.array, found.T.copy())], names=[*part.schema.names[:-1], *COUNTS])
+
+    return run
+
+
+def counted(docs: DataFrame, keep: str) -> DataFrame:
+    """The column ``keep`` and the ``COUNTS`` of every text."""
+    kind = docs.schema[keep].dataType.simpleString()
+    texts = docs.select(docs[keep], docs["text"].cast("string").alias("_text"))
+    return texts.mapInArrow(_counted(), f"`{keep}` {kind}, {', '.join(f'{n} long' for n in COUNTS)}")
+
+
 def statistics(counts):
     """Ratios of the counts, one row per document: what the trees see."""
     import numpy as np
@@ -136,7 +221,8 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = 20_000) -> Trees | floa
     import numpy as np
 
     rows = labelled_documents(docs.select("doc_id", "text"), label_sample(labels, "quality", DIVISOR, HELD, bound))
-    found = measure(rows, "text", ["_label"]).limit(4 * bound).toPandas()
+    # An id may stand in several rows; of these, too, ``bound`` are taken by hash.
+    found = counted(rows, "_label").orderBy(F.xxhash64("_label", *COUNTS), "_label", *COUNTS).limit(bound).toPandas()
     y = found["_label"].to_numpy("f8")
     if not len(y) or y.min() == y.max():
         return float(y.mean()) if len(y) else 0.0
@@ -145,11 +231,13 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = 20_000) -> Trees | floa
 
 
 def _scored(model):
+    counted = _counted()
+
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in counted(batches):
             x = statistics({n: batch.column(n).to_numpy() for n in COUNTS})
             score = np.full(len(x), model) if isinstance(model, float) else model.score(x)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score)], names=["doc_id", "score"])
@@ -159,8 +247,8 @@ def _scored(model):
 
 def score(docs: DataFrame, model) -> DataFrame:
     """``doc_id`` and ``score`` of every document."""
-    counts = measure(docs, "text", ["doc_id"]).select("doc_id", *COUNTS)
-    return counts.mapInArrow(_scored(model), f"doc_id {counts.schema['doc_id'].dataType.simpleString()}, score double")
+    texts = docs.select("doc_id", docs["text"].cast("string").alias("_text"))
+    return texts.mapInArrow(_scored(model), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, score double")
 
 
 def query(spark, docs: DataFrame, labels: DataFrame) -> DataFrame:

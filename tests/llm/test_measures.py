@@ -8,7 +8,7 @@ import pytest
 
 from millrace.llm import quality_model, quality_rules, token_lengths, toxicity
 from millrace.llm.common import ChunkEncoder
-from tests.llm.helpers import documents, odd
+from tests.llm.helpers import ODD, documents, odd
 
 WORDS = "the of and house tree river stone light cloud green walk speak quiet early paper".split()
 
@@ -104,6 +104,29 @@ def labels(spark, rows):
     return spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
 
 
+def test_counts_are_those_of_the_rules(spark):
+    texts = [prose(i, 9 * i) for i in range(40)] + ODD + [
+        prose(1, 30) * 3, "a b c d e f g h " * 3, "one " * 9, "The, THE. the f\u00fcr F\u00dcR de.,., \u00c9T\u00c9 \u03a3 \u0130",
+        "- a\n  * b\n\u2022 c\n-d\n\n \t\n- a", "open...\nso\u2026  \nno.. .\nend...\r\nx...\u2028", "1!2?3#*$%&|<>\x0b\x0c\x1c\xa0.,", "\U0001f600 \x85 x"]
+    want = quality_rules.measure(documents(spark, *texts), "text", ["doc_id"]).select("doc_id", *quality_model.COUNTS)
+    got = quality_model.counted(documents(spark, *texts), "doc_id")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_splits_are_the_best_of_an_exhaustive_search():
+    """One tree of one split against all statistics and cuts between their values."""
+    r = np.random.default_rng(3)
+    for seed in range(20):
+        x = r.integers(0, 12, size=(80, 3)).astype(float)
+        y = (x[:, seed % 3] + r.normal(size=80) * 3 > 6).astype(float)
+        model = quality_model.fit_trees(x, y, trees=1, depth=1, least=1)
+        slope, bend = y - y.mean(), np.full(80, y.mean() * (1 - y.mean()))
+        gain = lambda own: slope[own].sum() ** 2 / (bend[own].sum() + 1)
+        best = max((gain(x[:, j] <= c) + gain(x[:, j] > c), -j, -c) for j in range(3) for c in np.unique(x[:, j])[:-1])
+        j, c = model.feature[model.roots[0]], model.bound[model.roots[0]]
+        assert gain(x[:, j] <= c) + gain(x[:, j] > c) == pytest.approx(best[0])
+
+
 def test_trees_equal_a_walk_node_by_node():
     r = np.random.default_rng(1)
     x = r.normal(size=(400, 5))
