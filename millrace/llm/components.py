@@ -26,7 +26,7 @@ def components(edges: DataFrame) -> DataFrame:
     costs one round. Least values are combined before the shuffle and rows meet
     them in a join whose hot keys adaptive execution can split; no neighbourhood
     is ever gathered. Rounds end when the edges no longer change, after about
-    log(n) of them.
+    log(n) of them. Loops and repeated edges change nothing; without edges there are no rows.
     """
     now = materialize(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     seen = _print(now)

@@ -8,6 +8,10 @@ multi-index hashing over the first half and are candidates if they differ in at
 64. Candidates that are connected form a crowd; inside a crowd all pairs are compared by
 their shingles, and only pairs that are similar enough link.
 
+The first segment's candidates are connected before the others are looked at. Sets then
+carry the group they are in, and an entry of another segment only says which groups it
+joins, so a crowd hands over few links however many entries its sets meet in.
+
 A crowd of more than ``block`` sets is cut into blocks. First each block meets itself and
 the crowd's least set; then whatever is not yet linked to that set meets all blocks. So a
 crowd of near copies costs what it holds, and no task holds more than two blocks.
@@ -15,7 +19,9 @@ crowd of near copies costs what it holds, and no task holds more than two blocks
 Missed are only pairs beyond the candidate distance that no other candidates connect.
 
 Defined cases: null and blank texts have no shingles and are copies of one another; a
-text of fewer words than a shingle has its whole word sequence as its only shingle.
+text of fewer words than a shingle has its whole word sequence as its only shingle;
+repeated rows are copies of one another, told apart by their place; an empty table has
+no groups; only the text, the place and the columns of ``order`` are read.
 """
 
 from __future__ import annotations
@@ -50,7 +56,7 @@ def shingles(text: bytes):
 def _signed(arrays):
     import pyarrow as pa
 
-    return pa.StructArray.from_arrays([pa.array(x.view("<i8")) for x in arrays], names=["a", "b"])
+    return pa.StructArray.from_arrays([pa.array(x.view("<i8")) for x in arrays], names=["a", "b", "root"][: len(arrays)])
 
 
 def _halves(column):
@@ -81,8 +87,8 @@ def _marks():
     return run
 
 
-def _entries(parts: int, radius: int):
-    """As in ``simhash``, by the first half of the fingerprint."""
+def _entries(parts: int, radius: int, chosen: list[int]):
+    """As in ``simhash``, by the ``chosen`` segments of the first half of the fingerprint."""
 
     def run(batches):
         import numpy as np
@@ -92,7 +98,8 @@ def _entries(parts: int, radius: int):
             every = _halves(batch.column(0))
             for at in range(0, batch.num_rows, 4096):
                 fps = [h[at : at + 4096] for h in every]
-                for seg, (low, width) in enumerate(_segments(parts)):
+                for seg in chosen:
+                    low, width = _segments(parts)[seg]
                     own = (fps[0] >> np.uint64(low)) & np.uint64((1 << width) - 1)
                     rows = np.arange(len(own))
                     vals, who = [own], [rows]
@@ -109,7 +116,26 @@ def _entries(parts: int, radius: int):
 
 
 def _links(distance: int):
-    """Links of spanning forests of the entries; rows come sorted by entry, table rows first."""
+    """Links of spanning forests of the entries over the rows' groups; rows come sorted by entry, table rows first."""
+
+    def apart(links, root):
+        """Those links that join two groups not yet joined by earlier ones."""
+        import numpy as np
+
+        links = links[root[links[:, 0]] != root[links[:, 1]]]
+        up, kept = {}, []
+
+        def top(x):
+            while (y := up.get(x, x)) != x:
+                up[x] = x = up.get(y, y)
+            return x
+
+        for k, (a, b) in enumerate(zip(root[links[:, 0]].tolist(), root[links[:, 1]].tolist())):
+            a, b = top(a), top(b)
+            if a != b:
+                up[a] = b
+                kept.append(k)
+        return links[np.array(kept, "i8")]
 
     def forest(first, second, probe):
         """Peel off whatever the last found rows reach; look-ups reach table rows only."""
@@ -131,11 +157,11 @@ def _links(distance: int):
                 left = left[~near]
         return np.array(links, "i8").reshape(-1, 2)
 
-    def found(keys, first, second, probe):
+    def found(keys, first, second, root, probe):
         import numpy as np
 
         edges = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1], True]) if len(keys) else np.zeros(1, "i8")
-        pairs = [forest(first[a:b], second[a:b], probe[a:b]) + a for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()) if b - a > 1 and not probe[a]]
+        pairs = [apart(forest(first[a:b], second[a:b], probe[a:b]), root[a:b]) + a for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()) if b - a > 1 and not probe[a]]
         return np.concatenate(pairs) if pairs else np.zeros((0, 2), "i8")
 
     def run(batches):
@@ -144,7 +170,7 @@ def _links(distance: int):
 
         def batch_of(now):
             pairs = found(*now)
-            return pa.RecordBatch.from_arrays([_signed([h[pairs[:, i]] for h in now[1:3]]) for i in (0, 1)], names=["u", "v"])
+            return pa.RecordBatch.from_arrays([_signed([h[pairs[:, i]] for h in now[1:4]]) for i in (0, 1)], names=["u", "v"])
 
         held = None
         for batch in batches:
@@ -232,8 +258,16 @@ def near_copies(df: DataFrame, place: str, at: str, order: list, text: str = "te
     marks = narrow.mapInArrow(_marks(), f"order {narrow.schema['order'].dataType.simpleString()}, same long, fp {PAIR}, n long")
     sets = materialize(marks.groupBy("same").agg(F.min("order").alias("first"), F.min("fp").alias("fp"), F.max("n").alias("n")), "sets")
 
-    met = linked(sets.select("fp").distinct(), DISTANCE, SEGMENTS, radius=RADIUS, entries_of=_entries, links_of=_links)
-    crowds = materialize(_roots(sets, F.xxhash64("fp"), met.select(F.xxhash64("u").alias("u"), F.xxhash64("v").alias("v"))), "crowds")
+    def met(fps: DataFrame, chosen: list[int]) -> DataFrame:
+        links = linked(fps, DISTANCE, SEGMENTS, radius=RADIUS, entries_of=lambda parts, radius: _entries(parts, radius, chosen), links_of=_links)
+        return links.select(F.col("u.root").alias("u"), F.col("v.root").alias("v"))
+
+    grouped = lambda root: F.struct("fp.a", "fp.b", root.alias("root")).alias("fp")
+    own = materialize(sets.select("fp").distinct().select(grouped(F.xxhash64("fp"))), "alone")
+    first = components(met(own, [0]))
+    named = own.join(first, F.col("fp.root") == F.col("node"), "left").select(grouped(F.coalesce("root", F.col("fp.root"))))
+    more = met(materialize(named, "grouped"), [*range(1, SEGMENTS)])
+    crowds = materialize(_roots(sets, F.xxhash64("fp"), first.toDF("u", "v").unionByName(more)), "crowds")
     parts = F.greatest(F.ceil(F.count("*") / block), F.ceil(F.sum("n") / block_shingles)).cast("long")
     large = crowds.groupBy("root").agg(F.count("*").alias("c"), parts.alias("k"), F.min("same").alias("least")).filter("c > 1").drop("c")
     members = crowds.join(large, "root").select("same", F.col(f"first.{at}").alias("_at"), F.col("root").alias("crowd"), "k", "least")
