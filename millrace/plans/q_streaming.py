@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from millrace.plans.registry import query
 from millrace.plans.views import SS, table
 from millrace.session import scratch_path, setting
+from millrace.streaming import bucketed as B
 from millrace.streaming import events as T
 from millrace.streaming import sync as Y
 
@@ -21,12 +24,38 @@ def t_01(spark, sf):
         F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("value"))
 
 
-@query("t_02_sync_index", """
+SYNCED = """
 SELECT vec_id, CASE WHEN label >= 5 THEN label + 100 ELSE label END AS label, round(embedding[1]::DOUBLE, 5) AS first, len(embedding)::INTEGER AS dims
-FROM embeddings WHERE vec_id % 10 <> 3""")
+FROM embeddings WHERE vec_id % 10 <> 3"""
+
+
+@query("t_02_sync_index", SYNCED)
 def t_02(spark, sf):
+    target, state = scratch_path(spark, "index"), scratch_path(spark, "index-state")
+    for changes, schema in _drops(spark, sf):
+        Y.sync_index(changes, target, state, ["vec_id"], "version", deleted="gone").awaitTermination()
+    return _synced(Y.read_index(spark, target, schema, ["vec_id"], "version", "gone"))
+
+
+@query("t_02_sync_bucketed", SYNCED)
+def t_02_bucketed(spark, sf):
+    """The same drops into a bucketed table, compacted after the second."""
+    name, state = f"index_{uuid.uuid4().hex[:12]}", scratch_path(spark, "index-state")
+    for n, (changes, schema) in enumerate(_drops(spark, sf)):
+        B.create_index(spark, name, schema, ["vec_id"], buckets=8)
+        B.sync_bucketed(changes, name, state, ["vec_id"], "version", deleted="gone").awaitTermination()
+        if n == 1:
+            B.compact_bucketed(spark, name, ["vec_id"], "version", "gone", buckets=8)
+    return _synced(B.read_bucketed(spark, name, ["vec_id"], "version", "gone"))
+
+
+def _synced(index):
+    return index.select("vec_id", "label", F.round(F.col("embedding")[0].cast("double"), 5).alias("first"), F.size("embedding").alias("dims"))
+
+
+def _drops(spark, sf):
     """Four drops: all vectors, new labels from 5 up, deletes of some keys, and late old versions of everything."""
-    drops, target, state = (scratch_path(spark, n) for n in ("drops", "index", "index-state"))
+    drops = scratch_path(spark, "drops")
     base = table(spark, sf, "embeddings").withColumn("gone", F.lit(False))
     changed = base.filter("label >= 5").withColumn("label", F.col("label") + 100)
     removed = base.filter("vec_id % 10 = 3").withColumn("gone", F.lit(True))
@@ -35,9 +64,7 @@ def t_02(spark, sf):
     for version, rows in ((1, base), (2, changed), (3, removed), (0, late)):
         rows.withColumn("version", F.lit(version)).write.mode("append").parquet(drops)
         changes = spark.readStream.schema(schema).parquet(drops)
-        Y.sync_index(changes, target, state, ["vec_id"], "version", deleted="gone").awaitTermination()
-    return Y.read_index(spark, target, schema, ["vec_id"], "version", "gone").select(
-        "vec_id", "label", F.round(F.col("embedding")[0].cast("double"), 5).alias("first"), F.size("embedding").alias("dims"))
+        yield changes, schema
 
 
 # A session is closed when the newest event is more than gap and delay (7 hours) after its last one.

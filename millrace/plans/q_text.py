@@ -6,12 +6,14 @@ from pyspark.sql import functions as F
 
 from millrace.operators import ann_index
 from millrace.operators import neighbours as N
+from millrace.operators import postings as PO
 from millrace.operators import text as X
 from millrace.operators.features import split
 from millrace.operators.reshape import ranked
 from millrace.plans.q_sources import DOC_CHUNKS, scratch_schema
 from millrace.plans.registry import query
 from millrace.plans.views import table, texts
+from millrace.session import scratch_path
 
 # Lower-cased whitespace tokens per document and per question.
 TOKENS = r"""dtok AS (SELECT doc_id, list_filter(string_split(trim(regexp_replace(lower(text), '[\s\x{00A0}]+', ' ', 'g')), ' '), lambda t: t <> '') AS w FROM documents),
@@ -205,6 +207,18 @@ def x_07(spark, sf):
     return top.select("item_id", "doc_id", F.round("bm25", 6).alias("bm25"), "new_rank")
 
 
+@query("x_07_rerank_indexed", f"WITH {BM25_SQL} SELECT item_id, doc_id, round(bm25, 6) AS bm25, new_rank FROM top")
+def x_07_indexed(spark, sf):
+    """The same ranks from a stored index, to which the corpus came in three batches, one of them twice."""
+    hits, docs, questions = _candidates(spark, sf)
+    path = scratch_path(spark, "postings")
+    for batch in (0, 1, 2, 1):
+        PO.add_documents(docs.filter(F.col("doc_id") % 3 == batch), path, batch, "doc_id", "text")
+    top = PO.rerank_indexed(hits.select("item_id", "doc_id"), questions.select("item_id", F.col("text").alias("question")), path, 3,
+                            q_id="item_id", key="doc_id", query="question")
+    return top.select("item_id", "doc_id", F.round("bm25", 6).alias("bm25"), "new_rank")
+
+
 @query("x_08_build_prompts", f"""
 WITH {BM25_SQL}, ctx AS (
   SELECT item_id, string_agg('Source: ' || doc_id || chr(10) || documents.text, chr(10) || chr(10) ORDER BY new_rank) AS context

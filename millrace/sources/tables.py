@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,18 +35,62 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
-def read_many(spark: SparkSession, paths: list[str], casts: dict[str, str] | None = None) -> DataFrame:
-    """Several parquet paths as one frame, columns cast and matched by name.
+def _footer_marks():
+    """Mapper of paths to a text that is equal for parquet files of equal schema, null for what is no such file here; a closure, so that it ships by value."""
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        import pyarrow.parquet as pq
+        from pyarrow import fs
+
+        def mark(path):
+            try:
+                system, at = fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
+                if system.get_file_info(at).type != fs.FileType.File:
+                    return None
+                footer = pq.read_metadata(at, filesystem=system)
+                return f"{footer.schema}{(footer.metadata or {}).get(b'org.apache.spark.sql.parquet.row.metadata')}"
+            except (OSError, ValueError, ImportError, pa.ArrowException):
+                return None
+
+        for batch in batches:
+            paths = batch.column(0)
+            yield pa.RecordBatch.from_arrays([paths, pa.array([mark(p) for p in paths.to_pylist()], pa.string())], names=["path", "mark"])
+
+    return run
+
 
-    Paths that share a schema are read by one scan, so the plan grows with the
-    number of different schemas and not with the number of files.
+def schema_groups(spark: SparkSession, paths: list[str], files_per_task: int = 64) -> list[tuple[T.StructType, list[str]]]:
+    """The paths by schema, in order of first appearance.
+
+    Footers are read by tasks, many files each, and only compared; Spark then infers the schema of
+    one path of every kind. Folders, and paths in stores that only Spark opens, are
+    inferred by Spark one by one, a few at a time.
     """
+    distinct = list(dict.fromkeys(paths))
+    tasks = max(1, -(-len(distinct) // files_per_task))
+    marks = spark.createDataFrame([(p,) for p in distinct], "path string").repartition(tasks).mapInArrow(
+        _footer_marks(), "path string, mark string")
+    kind = {r["path"]: r["mark"] for r in marks.collect()}
+    first = {m: p for p in reversed(distinct) if (m := kind[p]) is not None}
+    asked = [*first.values(), *[p for p in distinct if kind[p] is None]]
+    with ThreadPoolExecutor(8) as pool:
+        known = dict(zip(asked, pool.map(lambda p: spark.read.parquet(p).schema, asked)))
     groups: dict[str, tuple[T.StructType, list[str]]] = {}
     for path in paths:
-        schema = spark.read.parquet(path).schema
+        schema = known[path if kind[path] is None else first[kind[path]]]
         groups.setdefault(schema.json(), (schema, []))[1].append(path)
+    return list(groups.values())
+
+
+def read_many(spark: SparkSession, paths: list[str], casts: dict[str, str] | None = None) -> DataFrame:
+    """Several parquet paths as one frame, columns cast and matched by name.
+
+    Paths that share a schema are read by one scan, so the plan, and the calls on the
+    driver, grow with the number of different schemas and not with the number of files.
+    """
     out = None
-    for schema, members in groups.values():
+    for schema, members in schema_groups(spark, paths):
         df = spark.read.schema(schema).parquet(*members)
         df = df.withColumns({c: F.col(c).cast(t) for c, t in (casts or {}).items() if c in df.columns})
         out = df if out is None else out.unionByName(df, allowMissingColumns=True)

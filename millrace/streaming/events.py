@@ -166,6 +166,8 @@ def stream_funnel(events: DataFrame, delay: str = "1 hour", idle: dt.timedelta =
             state.setTimeoutTimestamp(int(max((sums[stays, 5] // 1000).min() + idle_ms, now + 1)))
         else:
             state.remove()
+        if not new.any():
+            return
         user = pd.array(users[new], "Int64")
         user[nulls[new]] = pd.NA
         own = sums[new]

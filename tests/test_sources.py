@@ -123,3 +123,30 @@ def test_articles(frame):
     got = ingest_articles(df).collect()
     assert [(r.page_id, r.title, r.content, r.content_length) for r in got] == [(1, "One", "a & b", 5)]
     assert got[0].fetch_time is not None
+
+
+def test_read_many_paths_by_schema(spark, tmp_path):
+    """10,000 files of two schemas: one scan each, and Spark is asked for two schemas only."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    tables = [pa.table({"id": pa.array([1], pa.int64()), "v": pa.array([0.5])}), pa.table({"id": pa.array([1], pa.int32()), "w": pa.array(["x"])})]
+    paths = []
+    for i in range(10_000):
+        paths.append(str(tmp_path / f"{i}.parquet"))
+        pq.write_table(tables[i % 5 == 0], paths[-1])
+    groups = io.schema_groups(spark, paths)
+    assert [len(members) for _, members in groups] == [2000, 8000]
+    assert groups[0][0].simpleString() == "struct<id:int,w:string>"
+    df = io.read_many(spark, paths, {"id": "long"})
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 2
+    assert df.groupBy("w").agg(F.sum("id")).count() == 2 and df.columns == ["id", "w", "v"]
+
+
+def test_read_many_takes_folders_and_repeats(spark, tmp_path):
+    a, b, c = (str(tmp_path / n) for n in "abc")
+    spark.range(4).selectExpr("id", "id % 2 as p").write.partitionBy("p").parquet(a)
+    spark.range(3).write.parquet(b)
+    spark.range(2).selectExpr("cast(id as string) as id").coalesce(1).write.parquet(c)
+    got = io.read_many(spark, [a, b, c, f"file:{b}"], {"id": "long"})
+    assert got.count() == 4 + 3 + 2 + 3 and set(got.columns) == {"id", "p"}
