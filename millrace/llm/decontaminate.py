@@ -16,7 +16,7 @@ seeds, and seeds closer than that share a window, so long texts cost what they h
 
 Defined cases: null and blank texts and items match nothing; items of fewer words than
 an n-gram are too short to show a leak and match nothing; repeated items and rows are
-compared each; empty tables give an empty result; only id and text are read, and the
+compared each; item ids may be of any type; empty tables give an empty result; only id and text are read, and the
 stage keeps whatever columns there are.
 """
 
@@ -26,6 +26,7 @@ import math
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from millrace.llm.common import with_place
 from millrace.session import materialize
@@ -163,7 +164,7 @@ def align(items, passages):
     return best
 
 
-def _aligned(block: Block, keep):
+def _aligned(block: Block, keep, kind):
     """Rows of (kept columns, item, score, first and last word of the best passage)."""
     import numpy as np
 
@@ -222,7 +223,7 @@ def _aligned(block: Block, keep):
             keys = sorted(best)
             columns = [c.take(pa.array([k[0] for k in keys], "i8")) for c in batch.columns[:-3]]
             yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array([block.ids[k[1]] for k in keys], pa.int64()), pa.array([best[k][0] for k in keys], "f8"),
+                [*columns, pa.array([block.ids[k[1]] for k in keys], kind), pa.array([best[k][0] for k in keys], "f8"),
                  pa.array([best[k][1] for k in keys], "i8"), pa.array([best[k][2] for k in keys], "i8")],
                 names=[*batch.schema.names[:-3], "item_id", "score", "first_word", "end_word"])
 
@@ -237,12 +238,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame, keep: list[str] | None = None,
     """``keep`` (``doc_id``), ``item_id``, ``score`` and passage of every document and item that align well."""
     keep = keep or ["doc_id"]
     spark = docs.sparkSession
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
+    items = benchmark.select("item_id", F.col("text").cast("string").alias("text"))
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(size / block_bytes))
     narrow = docs.select(*keep, docs["text"].cast("string").alias("_text"))
     kept = _columns(docs, keep)
-    out = spark.createDataFrame([], f"{kept}, item_id long, score double, first_word long, end_word long")
+    out = spark.createDataFrame([], f"{kept}, item_id {items.schema['item_id'].dataType.simpleString()}, score double, first_word long, end_word long")
     for number in range(blocks):
         own = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == number)
         block = Block(sorted(((r[0], r[1]) for r in own.collect()), key=str))
@@ -252,7 +253,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, keep: list[str] | None = None,
             narrow.mapInArrow(_occurrences(block), f"{kept}, _ids array<int>, _at array<int>, _grams array<int>"), "occurrences")
         counted = held.select(F.explode(F.array_distinct("_grams")).alias("gram")).groupBy("gram").agg(F.count("*").alias("n"))
         seeds = choose_seeds(block, {r["gram"]: r["n"] for r in counted.collect()})
-        found = held.mapInArrow(_aligned(block, seeds), out.schema)
+        found = held.mapInArrow(_aligned(block, seeds, to_arrow_type(items.schema["item_id"].dataType)), out.schema)
         out = out.unionByName(found) if blocks > 1 else found
     return out
 

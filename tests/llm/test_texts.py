@@ -134,6 +134,30 @@ def test_edited_copies_are_found_however_many_there_are(spark, copies):
     assert all(0.6 < r["score"] < 0.9 for r in rows if r["doc_id"])
 
 
+def test_leaks_equal_alignment_of_all_pairs(spark):
+    """Every text against every item, whole against whole; items named by texts, over several blocks."""
+    r = random.Random(8)
+    items = {f"item {i}": prose(700 + i, r.randrange(8, 40)) for i in range(12)}
+    texts = [prose(i, r.randrange(20, 120)) for i in range(30)]
+    for i, item in enumerate(items.values()):
+        words = item.split()
+        for _ in range(i % 4):
+            words[r.randrange(len(words))] = "edited"
+        texts.append(prose(800 + i, 30) + " " + " ".join(words[: len(words) - i % 3]) + " " + prose(900 + i, 30))
+    bench = spark.createDataFrame(list(items.items()), "item_id string, text string")
+    rows = decontaminate.leaks(documents(spark, *texts), bench, block_bytes=400).collect()
+    number = {}
+    ids = lambda t: np.array([number.setdefault(w, len(number) + 1) for w in decontaminate.words_of(t)], "i4")
+    want = {}
+    for n, text in enumerate(texts):
+        for name, item in items.items():
+            share = decontaminate.align([ids(item)], [ids(text)])[0] / (decontaminate.MATCH * len(ids(item)))
+            if share >= decontaminate.THRESHOLD:
+                want[n, name] = share
+    assert len(want) >= 12
+    assert {(x["doc_id"], x["item_id"]): x["score"] for x in rows} == pytest.approx(want)
+
+
 def test_texts_on_odd_and_empty_tables(spark):
     bench = spark.createDataFrame([(1, "ab ab ab ab ab"), (2, None)], "item_id long, text string")
     rows = decontaminate.query(spark, odd(spark), bench).collect()
