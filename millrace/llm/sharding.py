@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from millrace.llm.common import text_of
+from millrace.llm.common import text_of, with_place
 from millrace.session import scratch_path
 
 
@@ -60,9 +60,11 @@ def shuffled(df: DataFrame, seed: int = 17, bucket_bytes: int = 32 << 20, column
     spark = df.sparkSession
     total = df.select(size_of(df, column).alias("size")).agg(F.sum("size"), F.count("*")).first()
     n = max(spark.sparkContext.defaultParallelism, math.ceil((total[0] or 0) / bucket_bytes))
-    scattered = df.select(
-        F.struct(*[df[c] for c in df.columns]).alias("record"),
-        F.pmod(F.xxhash64(F.lit(seed), F.xxhash64(F.monotonically_increasing_id())), F.lit(n)).cast("int").alias("bucket"))
+    # By its place in the files a row falls into the same bucket again when a task is repeated.
+    placed, place = with_place(df)
+    scattered = placed.select(
+        F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("record"),
+        F.pmod(F.xxhash64(F.lit(seed), F.col(place)), F.lit(n)).cast("int").alias("bucket"))
     dealt = scattered.repartitionById(n, F.col("bucket"))
     mixed = dealt.mapInArrow(_fisher_yates(seed), StructType([*dealt.schema, StructField("place", LongType())]))
     path = scratch_path(spark, "buckets")
