@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.hashing import hash_below
 from millrace.functions.scalars import nan_as_null
-from millrace.operators.profile import corr_matrix
+from millrace.operators.profile import corr_matrix, domains
 from millrace.operators.ranking import label_codes
 from millrace.session import materialize
 
@@ -35,6 +35,21 @@ def label_encode(df: DataFrame, c: str, out: str | None = None, buckets: int = 6
     return joined.withColumn(out or c, F.col("_code")).drop("_value", "_code")
 
 
+def label_encode_all(df: DataFrame, cols: list[str], buckets: int = 64) -> DataFrame:
+    """:func:`label_encode` of several columns; small domains are found by one job."""
+    known = domains(df, cols, MAP_DOMAIN)
+    out = df
+    for c, values in known.items():
+        # Spark's order of text and numbers is Python's; NaN and other kinds go the long way.
+        if values is None or not all(isinstance(v, (str, int)) for v in values):
+            out = label_encode(out, c, buckets=buckets)
+            continue
+        pairs = [F.lit(x) for i, v in enumerate(values) for x in (v, i)]
+        code = F.try_element_at(F.create_map(*pairs), F.col(c)) if pairs else F.lit(None)
+        out = out.withColumn(c, code.cast("long"))
+    return out
+
+
 def index_categories(df: DataFrame, cols: list[str], suffix: str = "_index"):
     """Frequency-order index per column, ties alphabetical, unseen values kept.
 

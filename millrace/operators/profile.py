@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.hashing import hash_below
@@ -51,6 +51,20 @@ def domain(df: DataFrame, c: str, limit: int = WIDE) -> list | None:
     return sorted(values) if len(values) <= limit else None
 
 
+def domains(df: DataFrame, cols: list[str], limit: int = WIDE) -> dict[str, list | None]:
+    """:func:`domain` of several columns by one job."""
+    kinds = {c: df.schema[c].dataType for c in cols}
+    one = lambda i: F.struct(F.lit(i).alias("i"), *[
+        (F.col(f"`{c}`") if j == i else F.lit(None).cast(kinds[c])).alias(f"v{j}") for j, c in enumerate(cols)])
+    values = df.select(F.explode(F.array(*map(one, range(len(cols))))).alias("e")).select("e.*").distinct()
+    known = F.expr(" OR ".join(f"v{j} IS NOT NULL" for j in range(len(cols))))
+    few = values.filter(known).withColumn("_n", F.row_number().over(Window.partitionBy("i").orderBy(F.xxhash64(*[f"v{j}" for j in range(len(cols))])))).filter(F.col("_n") <= limit + 1)
+    found: dict[str, list] = {c: [] for c in cols}
+    for r in few.collect():
+        found[cols[r["i"]]].append(r[f"v{r['i']}"])
+    return {c: sorted(v) if len(v) <= limit else None for c, v in found.items()}
+
+
 def crosstab(df: DataFrame, a: str, b: str, values: list | None = None, limit: int = WIDE) -> DataFrame:
     """Counts of ``a`` × ``b`` with one column per value of ``b``; absent pairs are 0.
 

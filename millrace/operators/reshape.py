@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.scalars import month_no, pct_change, trend_label
-from millrace.operators.profile import WIDE, corr_with, domain, top_variance
+from millrace.operators.profile import WIDE, corr_with, domains, top_variance
 from millrace.operators.ranking import label_codes
 from millrace.session import materialize
 
@@ -106,11 +106,11 @@ def one_hot(df: DataFrame, cols: list[str], limit: int = WIDE) -> DataFrame:
     Null gives 0 everywhere. Where a column has more than ``limit`` values, all become one
     sparse vector instead, see :func:`one_hot_sparse`.
     """
-    domains = {c: domain(df, c, limit) for c in cols}
-    if None in domains.values():
+    values = domains(df, cols, limit)
+    if None in values.values():
         return one_hot_sparse(df, cols)[0]
     dummies = [
-        F.when(F.col(c) == v, 1).otherwise(0).alias(f"{c}_{v}") for c in cols for v in domains[c]
+        F.when(F.col(c) == v, 1).otherwise(0).alias(f"{c}_{v}") for c in cols for v in values[c]
     ]
     return df.select(*[c for c in df.columns if c not in cols], *dummies)
 

@@ -205,8 +205,7 @@ def _encoded(spark, sf):
     cols = [*CORR, "is_canceled", "arrival_date_month", "country", "hotel", "deposit_type", "reservation_status"]
     bk = materialize(bookings(spark, sf, *cols), "bookings").fillna({"children": 0.0, "country": "OTHER"})
     bk = bk.withColumns({"is_canceled": yes_no("is_canceled"), "arrival_date_month": month_no("arrival_date_month")})
-    for c in ("country", "hotel"):
-        bk = M.label_encode(bk, c)
+    bk = M.label_encode_all(bk, ["country", "hotel"])
     return one_hot(bk, ["deposit_type", "reservation_status"])
 
 

@@ -60,6 +60,16 @@ def test_index_and_encode_keep_unseen(frame):
     assert {len(r.v_index_vec) for r in vec.collect()} == {4}
 
 
+def test_encoding_several_columns_at_once(frame):
+    df = frame("a string, b int, c double", ("x", 3, 0.5), ("w", 1, float("nan")), (None, 3, 0.5), ("é", None, None))
+    want = df
+    for c in df.columns:
+        want = M.label_encode(want, c)
+    assert rows_of(M.label_encode_all(df, df.columns)) == rows_of(want)
+    many = df.sparkSession.range(600).selectExpr("id as k", "id % 7 as few")
+    assert rows_of(M.label_encode_all(many, ["k", "few"])) == [(i, i % 7) for i in range(600)]
+
+
 def test_nan_is_missing_to_imputer_and_scale(frame):
     nan = float("nan")
     df = frame("a double, b double", (1.0, nan), (2.0, nan), (3.0, nan), (nan, nan))
