@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.hashing import hash_below
 from millrace.functions.scalars import nan_as_null
+from millrace.operators import gram
 from millrace.operators.ranking import label_codes, quantiles
 from millrace.session import materialize
 
@@ -259,9 +260,11 @@ def corr_matrix(df: DataFrame, cols: list[str], absolute: bool = False) -> DataF
     Each pair uses the rows where both are known; r is null when a side is
     constant there. Columns are first brought to mean 0 and deviation 1; then
     every task adds up its cross products as small matrices and emits one row of
-    sums per pair, whatever its number of rows.
+    sums per pair, whatever its number of rows. Very wide tables go by tiles, see ``gram``.
     """
     d = len(cols)
+    if d > gram.TILE:
+        return gram.corr_tiled(df, cols, absolute)
     df = nan_as_null(df.select(*[F.col(c).cast("double").alias(c) for c in cols]))
     row = df.agg(
         *[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)],

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import medallion as M
 from millrace.operators import profile as A
+from millrace.operators.gram import corr_tiled
 from millrace.plans.registry import query
 from millrace.plans.views import BK, CP, QL, SS, TX, bookings, profiles, quality, sessions, table, trips
 
@@ -166,6 +167,12 @@ def a_16(spark, sf):
     return rounded(A.corr_matrix(bookings(spark, sf, *CORR), CORR, absolute=True), 6)
 
 
+@query("a_16_corr_tiled", f"WITH {BK} {CORR_SQL}")
+def a_16_tiled(spark, sf):
+    """The same by tiles of three columns and one tile a pass."""
+    return rounded(corr_tiled(bookings(spark, sf, *CORR), CORR, absolute=True, tile=3, strip=2, task_bytes=1), 6)
+
+
 @query("a_17_corr_with", f"WITH {BK}, b AS (SELECT *, (is_canceled = 'yes')::INTEGER AS y FROM bk) " + " UNION ALL ".join(
     f"SELECT '{c}' AS \"column\", round(corr({c}, y), 6) AS r FROM b" for c in CORR))
 def a_17(spark, sf):
