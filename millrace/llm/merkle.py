@@ -267,6 +267,8 @@ def manifest(docs: DataFrame, carry: dict[str, Column] | None = None) -> Manifes
     rows = placed.select(
         F.coalesce(F.concat(F.lit("="), source), F.lit("")).alias("tree"), "doc_id", leaf(*map(F.col, FIELDS)).alias("hash"),
         *[c.alias(n) for n, c in carry.items()], F.xxhash64(place).alias("_tie"))
+    # Stored before they are sorted: sorting reads its rows twice, and these are texts no more.
+    rows = materialize(rows, "digests")
     leaves = materialize(_indexed(rows, ["doc_id", "hash", "_tie"]).drop("_tie"), "leaves")
     most = leaves.agg(F.max("n")).first()[0]
     if most is None:
