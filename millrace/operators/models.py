@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import math
 import random
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import RegressionEvaluator
@@ -18,6 +20,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationS
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.functions.hashing import hash_below
 from millrace.operators.relational import upsert
 from millrace.operators.reshape import best, latest
 
@@ -100,6 +103,11 @@ def tuning_table(spark: SparkSession, model, grid: dict[str, list], est) -> Data
         rows, "combination int, metric double, " + ", ".join(f"{n} int" for n in grid))
 
 
+def _drawn(space: dict[str, tuple[int, int, int]], trials: int, seed: int) -> list[dict]:
+    rng = random.Random(seed)
+    return [{n: rng.randrange(lo, hi + 1, step) for n, (lo, hi, step) in space.items()} for _ in range(trials)]
+
+
 def search(
     spark: SparkSession, objective: Callable[[dict], float], space: dict[str, tuple[int, int, int]],
     trials: int = 5, seed: int = 42,
@@ -108,15 +116,47 @@ def search(
 
     The trials run one after the other; every objective call is a distributed fit.
     """
-    rng = random.Random(seed)
-    rows = []
-    for t in range(trials):
-        params = {n: rng.randrange(lo, hi + 1, step) for n, (lo, hi, step) in space.items()}
-        rows.append((t, float(objective(params)), *params.values(), "COMPLETE"))
-    schema = "trial int, rmse double, " + ", ".join(f"{n} int" for n in space) + ", state string"
+    rows = [(t, float(objective(params)), *params.values()) for t, params in enumerate(_drawn(space, trials, seed))]
+    schema = "trial int, rmse double, " + ", ".join(f"{n} int" for n in space)
     return spark.createDataFrame(rows, schema).orderBy("rmse", "trial")
 
 
+def halving_search(
+    train: DataFrame, keys: list[str], objective: Callable[[dict, DataFrame], float], space: dict[str, tuple[int, int, int]],
+    trials: int = 9, eta: int = 3, seed: int = 42, parallelism: int = 2,
+) -> DataFrame:
+    """Successive halving: all trials on a small sample, the best of each round on ``eta`` times its rows, the last ones on all.
+
+    The rounds follow from the number of trials: each keeps the best 1 / eta of its trials, and the
+    last one, with eta trials at most, has all rows. Samples are by hash of the keys with one
+    threshold, so each holds the one before it, and the result does not depend on how rows lie or on which trial
+    ends first. ``objective(params, rows)`` fits on the rows and gives the error; the trials
+    of a round run side by side. Trials of equal parameters are fitted once.
+
+    One row per trial and round: ``trial``, ``round``, ``fraction``, ``rmse``, the parameters, and ``kept``
+    (goes on; in the last round, is the best).
+    """
+    drawn, rounds, left = _drawn(space, trials, seed), [], trials
+    while left > eta:
+        rounds.append(left)
+        left = math.ceil(left / eta)
+    rounds.append(left)
+    alive, rows = list(range(trials)), []
+    for number, size in enumerate(rounds):
+        fraction = float(eta) ** (number + 1 - len(rounds))
+        sample = train if fraction == 1 else train.filter(hash_below(fraction, *keys, seed=seed))
+        different = list({tuple(drawn[t].values()): drawn[t] for t in alive}.values())
+        with cached(sample) as data, ThreadPoolExecutor(parallelism) as pool:
+            run = inheritable_thread_target(train.sparkSession)(lambda params: float(objective(params, data)))
+            errors = dict(zip((tuple(p.values()) for p in different), pool.map(run, different)))
+        order = sorted(alive, key=lambda t: (errors[tuple(drawn[t].values())], t))
+        going = set(order[: rounds[number + 1] if number + 1 < len(rounds) else 1])
+        rows += [(t, number, fraction, errors[tuple(drawn[t].values())], *drawn[t].values(), t in going) for t in alive]
+        alive = sorted(going)
+    schema = "trial int, round int, fraction double, rmse double, " + ", ".join(f"{n} int" for n in space) + ", kept boolean"
+    return train.sparkSession.createDataFrame(rows, schema).orderBy(F.desc("round"), "rmse", "trial")
+
+
 def refit(est, trials: DataFrame, params: list[str], train: DataFrame):
     """Fit the estimator on all training rows with the parameters of the best trial."""
     row = trials.orderBy("rmse", "trial").first()

@@ -166,6 +166,24 @@ def m_19(spark, sf):
         "trial", inside.alias("in_space"), F.round(F.lit(dev), 4).alias("label_dev"), (F.col("rmse") < dev).alias("beats_mean"))
 
 
+@query("m_19_halving", f"""
+WITH {FARE_TEST} SELECT r::INTEGER AS round, CASE r WHEN 0 THEN 0.3333 ELSE 1.0 END::DOUBLE AS fraction, CASE r WHEN 0 THEN 9 ELSE 3 END::BIGINT AS trials,
+  CASE r WHEN 0 THEN 3 ELSE 1 END::BIGINT AS kept, label_dev, true AS beat_mean FROM range(2) t(r), dev""")
+def m_19_halving(spark, sf):
+    """Nine trials on a third of the rows, the best three on all; rounds, and whether every error is below the label's deviation."""
+    train, test = _fares(spark, sf)
+    dev = _dev(test)
+
+    def objective(params, rows):
+        return M.rmse_evaluator().evaluate(RandomForestRegressor(seed=42, **params).fit(rows).transform(held))
+
+    with M.cached(test) as held:
+        found = M.halving_search(train, ["trip_id"], objective, SPACE)
+    return found.groupBy("round").agg(
+        F.round(F.max("fraction"), 4).alias("fraction"), F.count("*").alias("trials"), F.count_if("kept").alias("kept"),
+        F.round(F.lit(dev), 4).alias("label_dev"), F.every(F.col("rmse") < dev).alias("beat_mean"))
+
+
 @query("m_20_refit", f"WITH {FARE_TEST} SELECT n, label_dev, true AS below_half, true AS best_params FROM dev")
 def m_20(spark, sf):
     """The refit model on the test rows, and whether its parameters are those of the trial with the least error."""

@@ -57,6 +57,31 @@ def test_regression_tuning_and_refit(spark, data):
     assert E.rmse(again).first() == E.rmse(model.transform(test)).first()
 
 
+def test_halving_finds_the_best_trial_on_few_rows(spark, data):
+    df = data[0].withColumn("y", 2 * F.col("a") + F.col("b"))
+    train, test = FE.split(FE.finalise(FE.assemble(df, ["a", "b"]), "y", keep=["id"]), ["id"], 0.8)
+    space, seen = {"maxDepth": (1, 8, 1)}, []
+
+    def objective(params, rows):
+        seen.append((params["maxDepth"], frozenset(r.id for r in rows.select("id").collect())))
+        model = RandomForestRegressor(seed=42, numTrees=4, **params).fit(rows)
+        return M.rmse_evaluator().evaluate(model.transform(test))
+
+    found = M.halving_search(train, ["id"], objective, space, trials=12)
+    rows, fitted, seen[:] = found.collect(), list(seen), []
+    assert [sum(r.round == n for r in rows) for n in (0, 1, 2)] == [12, 4, 2]
+    assert [sorted({r.fraction for r in rows if r.round == n}) for n in (0, 1, 2)] == [[pytest.approx(1 / 9)], [pytest.approx(1 / 3)], [1.0]]
+    samples = sorted({s for _, s in fitted}, key=len)
+    assert len(samples) == 3 and samples[0] < samples[1] < samples[2] and len(samples[2]) == train.count()
+    full = M.search(spark, lambda p: objective(p, train), space, trials=12).first()
+    assert (rows[0].maxDepth, rows[0].rmse, rows[0].kept) == (full.maxDepth, pytest.approx(full.rmse), True)
+    assert sum(len(s) for _, s in fitted) < 0.6 * sum(len(s) for _, s in seen)
+    again = M.halving_search(train.repartition(7), ["id"], objective, space, trials=12, parallelism=1).collect()
+    assert [(r.trial, r.round, r.kept) for r in again] == [(r.trial, r.round, r.kept) for r in rows]
+    model = M.refit(RandomForestRegressor(seed=42, numTrees=4), found.filter("fraction = 1"), ["maxDepth"], train)
+    assert model.getOrDefault("maxDepth") == full.maxDepth
+
+
 def test_scoring_paths_agree(spark, data):
     df, train, test = data
     model = M.fit_logreg(train, max_iter=20)
