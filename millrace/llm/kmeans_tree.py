@@ -40,7 +40,7 @@ BEST = 10
 #: At most so many vectors fit the tree, and so many are asked to calibrate the visits.
 SAMPLE, ASKED = 1 << 17, 256
 #: Share of true neighbours that the visited leaves of the calibration queries have to hold.
-RECALL = 0.95
+RECALL = 0.97
 BRANCHES, ROUNDS = 16, 8
 #: Vectors meant for a leaf, and the least number of sampled ones that a node needs to be split.
 LEAF_ROWS, LEAF_SAMPLE = 256, 32
