@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -96,7 +96,7 @@ def embed(df: DataFrame, text: str, dim: int = 1024, fn: Callable | None = None,
     the sum is scaled to length 1; hashing runs in the JVM, adding up runs per
     Arrow batch. ``fn`` (list of texts → list of vectors) is called per batch
     instead; when it fails, the texts are tried one by one and those that fail
-    get the zero vector.
+    get the zero vector, which :func:`embedding_failed` tells from blank texts.
     """
     if fn is not None:
         def one(text: str) -> list[float]:
@@ -137,6 +137,12 @@ def embed(df: DataFrame, text: str, dim: int = 1024, fn: Callable | None = None,
     return df.withColumn(out, add_udf(F.transform(tokens(F.lower(F.col(text))), lambda t: hash32(t))))
 
 
+def embedding_failed(text: str, vector: str) -> Column:
+    """True where a text that is not blank has no vector or the zero vector: its embedding failed."""
+    said = F.size(tokens(F.col(text))) > 0
+    return said & F.coalesce(F.forall(vector, lambda v: v == 0), F.lit(True))
+
+
 def build_embedding_table(docs: DataFrame, table: str, keys: list[str], text: str, dim: int = 1024) -> DataFrame:
     """Clean, chunk, embed and store (id, keys, chunk_no, content, embedding) once; returns the table.
 

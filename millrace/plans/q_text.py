@@ -8,6 +8,7 @@ from millrace.operators import ann_index
 from millrace.operators import neighbours as N
 from millrace.operators import postings as PO
 from millrace.operators import text as X
+from millrace.operators import vector_store as VS
 from millrace.operators.features import split
 from millrace.operators.reshape import ranked
 from millrace.plans.q_sources import DOC_CHUNKS, scratch_schema
@@ -92,6 +93,18 @@ def x_06(spark, sf):
     return N.similarity_search(base, question, ["label"], 5, vec="embedding", key="vec_id").withColumn("score", F.round("score", 6))
 
 
+@query("x_06_search_stored", f"""
+WITH s AS (SELECT b.vec_id, b.label, round({COS}, 9) AS score FROM embeddings a, embeddings b WHERE a.vec_id = 0)
+SELECT vec_id AS id, label, round(score, 6) AS score FROM s ORDER BY s.score DESC, vec_id LIMIT 5""")
+def x_06_stored(spark, sf):
+    """The same from vectors stored by cell, of which the cells in reach are read."""
+    base, path = table(spark, sf, "embeddings"), scratch_path(spark, "vectors")
+    question = base.filter("vec_id = 0").first().embedding
+    VS.store_by_cell(base, path, key="vec_id", vec="embedding", cols=["label"])
+    found = VS.search_stored(spark, path, list(map(float, question)), 5, cols=["label"])
+    return found.withColumn("score", F.round("score", 6))
+
+
 @query("j_07_knn", f"""
 WITH s AS (SELECT a.vec_id AS query_id, b.vec_id AS neighbour_id, round({COS}, 9) AS score FROM embeddings a, embeddings b WHERE a.vec_id <> b.vec_id)
 SELECT query_id, neighbour_id, round(score, 6) AS score, rank FROM (

@@ -236,9 +236,10 @@ def describe_catalog(spark: SparkSession, schemas: dict[str, str], counts: bool
     return listing.join(counted, ["layer", "table", "column"])
 
 
-# The code fence a statement may come in, and the answer for no rows.
+# The code fence a statement may come in, the answer for no rows, and how an error begins.
 SQL_FENCE = r"```(?:sql)?\s*(.*?)\s*```"
 NO_ROWS = "Query returned no results."
+FAILED = "Error executing query: "
 
 
 def strip_sql(text: str) -> str:
@@ -266,9 +267,9 @@ def sql_json(spark: SparkSession, text: str, max_rows: int | None = None) -> str
         found = sql_rows(spark, text)
         rows = [r[0] for r in (found if max_rows is None else found.limit(max_rows + 1)).collect()]
     except Exception as e:
-        return f"Error executing query: {e}"
+        return f"{FAILED}{e}"
     if not rows:
         return NO_ROWS
     if max_rows is not None and len(rows) > max_rows:
-        return f"Error executing query: more than {max_rows} rows. Aggregate the result or write it to a table."
+        return f"{FAILED}more than {max_rows} rows. Aggregate the result or write it to a table."
     return "[" + ",".join(rows) + "]"

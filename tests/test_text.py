@@ -49,6 +49,17 @@ def test_embed_blank_is_zero_and_norm_is_one(frame):
     assert (v[1] == v[4]).all() and len(v[1]) == 64
 
 
+def test_failed_embeddings_are_told_from_blank_texts(frame):
+    def own(texts):
+        if any("bad" in t for t in texts):
+            raise ValueError("bad")
+        return [[1.0, 0.0] for _ in texts]
+
+    df = X.embed(frame("t string", ("good",), ("bad",), ("  ",), (None,)), "t", 2, fn=own, out="v")
+    got = {r["t"]: r["f"] for r in df.select("t", X.embedding_failed("t", "v").alias("f")).collect()}
+    assert got == {"good": False, "bad": True, "  ": False, None: False}
+
+
 def test_embed_with_own_function(frame):
     df = frame("id int, t string", (1, "ab"), (2, ""), (3, "abc")).coalesce(1)
     got = {r.id: r.e for r in X.embed(df, "t", 2, lambda texts: [[len(t), 1] for t in texts], "e").collect()}
