@@ -20,8 +20,10 @@ from millrace.functions.hashing import hash32
 from millrace.operators import ann_index
 from millrace.session import materialize
 
-BLOCK_BASE = 8192
+# Rows that are scored against each other at a time, and bytes of the vectors of a block.
+BLOCK_BASE = 2048
 BLOCK_QUERY = 1024
+BLOCK_BYTES = 32 << 20
 # Cells grow with the root of the base, up to what every task can hold as pivots; larger cells are cut into blocks.
 MIN_CELLS, MAX_CELLS = 16, 4096
 # Rows whose distances to all pivots are held at a time.
@@ -107,35 +109,57 @@ def _merge(hits: DataFrame, k: int) -> DataFrame:
 HITS = "query_id long, neighbour_id long, score double"
 
 
+def _best_of_blocks():
+    """Best k of a block of queries among base vectors that come in pieces, returned as a closure."""
+    best_k, base, block = _best_k(), BLOCK_BASE, BLOCK_QUERY
+
+    def best_of_blocks(q_mat, q_ids, pieces, k, metric):
+        """(query id, base id, score); ``pieces`` gives (ids, matrix). Few products are held at a time, and 3 * k hits a query."""
+        import numpy as np
+
+        rows, ids, score = np.zeros(0, "i8"), np.zeros(0, "i8"), np.zeros(0)
+        held, waiting, floor = [], 0, np.full(len(q_ids), -np.inf)
+
+        def fold():
+            rows, ids, score = (np.concatenate(c) for c in zip(*held))
+            order = np.lexsort((ids, -score, rows))
+            rows, ids, score = rows[order], ids[order], score[order]
+            place = np.arange(len(rows)) - np.searchsorted(rows, rows)
+            last = place == k - 1
+            floor[rows[last]] = score[last]
+            return rows[place < k], ids[place < k], score[place < k]
+
+        for x_ids, x_mat in pieces:
+            for b in range(0, len(x_ids), base):
+                for a in range(0, len(q_ids), block):
+                    places = np.arange(a, min(a + block, len(q_ids)))
+                    hit = best_k(q_mat[a : a + block], places, x_mat[b : b + base], x_ids[b : b + base], k, metric)
+                    near = hit[2] >= floor[hit[0]]
+                    held.append(tuple(c[near] for c in hit))
+                    waiting += int(near.sum())
+                    if waiting > 2 * k * len(q_ids) + block:
+                        held = [fold()]
+                        waiting = len(held[0][0])
+        if held:
+            rows, ids, score = fold()
+        return q_ids[rows], ids, score
+
+    return best_of_blocks
+
+
 def _small_side(q: DataFrame, x: DataFrame, k: int, metric: str) -> DataFrame:
     """All queries as one broadcast matrix; one pass over the base vectors."""
-    best_k, matrix = _best_k(), _matrix()
+    best_of_blocks, matrix = _best_of_blocks(), _matrix()
     shared = q.sparkSession.sparkContext.broadcast(matrix(q.toArrow(), metric))
-    block = BLOCK_QUERY
 
     def search(batches: Iterator) -> Iterator:
-        import numpy as np
-        import pandas as pd
         import pyarrow as pa
 
         q_ids, q_mat = shared.value
-        best = lambda t: t.sort_values(
-            ["query_id", "score", "neighbour_id"], ascending=[True, False, True]).groupby("query_id", sort=False).head(k)
-        held, rows = [pd.DataFrame({
-            "query_id": np.array([], "int64"), "neighbour_id": np.array([], "int64"), "score": np.array([], float)})], 0
-        for batch in batches:
-            x_ids, x_mat = matrix(batch, metric)
-            if not len(x_ids):
-                continue
-            for at in range(0, len(q_ids), block):
-                part = slice(at, at + block)
-                hit = best_k(q_mat[part], q_ids[part], x_mat, x_ids, k, metric)
-                held.append(pd.DataFrame(dict(zip(held[0].columns, hit))))
-                rows += len(hit[0])
-            if rows > 4 * k * len(q_ids):
-                held = [best(pd.concat(held))]
-                rows = len(held[0])
-        yield pa.RecordBatch.from_pandas(best(pd.concat(held)), preserve_index=False)
+        step = max(256, (8 << 20) // (8 * max(1, q_mat.shape[1])))
+        pieces = (matrix(batch.slice(at, step), metric) for batch in batches for at in range(0, batch.num_rows, step))
+        hit = best_of_blocks(q_mat, q_ids, pieces, k, metric)
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in hit], names=["query_id", "neighbour_id", "score"])
 
     return x.mapInArrow(search, HITS)
 
@@ -203,20 +227,23 @@ def _pivots(x: DataFrame, n: int, metric: str):
     return np.unique(p, axis=0)
 
 
-def _blocked(routed: DataFrame, q: DataFrame, x: DataFrame, k: int, metric: str) -> DataFrame:
+def _blocked(routed: DataFrame, q: DataFrame, x: DataFrame, k: int, metric: str, width: int) -> DataFrame:
     """Join queries to base vectors cell by cell in blocks of bounded size.
 
     ``routed`` has (id, cell), one row per query and cell to search; the vectors
     of ``q`` (id, v) join it only on their way into the blocks. A cell
     with many base vectors or many queries is cut into blocks by id hash, so a
     hot cell spreads over many tasks and no task holds more than one block pair.
+    Each side is copied for every block of the other, so blocks are as large as the
+    work for all cores and BLOCK_BYTES allow.
     """
-    def sizes(df, name, block):
-        n = F.ceil(F.count("*") / block).cast("int").alias(name)
-        return df.groupBy("cell").agg(n)
-
     # One row per cell, so at most MAX_CELLS or the number the caller gave.
-    parts = F.broadcast(sizes(x, "x_parts", BLOCK_BASE).join(sizes(routed, "q_parts", BLOCK_QUERY), "cell"))
+    counts = x.groupBy("cell").agg(F.count("*").alias("xs")).join(routed.groupBy("cell").agg(F.count("*").alias("qs")), "cell").collect()
+    spark = q.sparkSession
+    share = math.isqrt(sum(r.xs * r.qs for r in counts) // (3 * spark.sparkContext.defaultParallelism))
+    most = max(1, min(max(share, BLOCK_QUERY), max(BLOCK_QUERY, BLOCK_BYTES // (8 * max(1, width)))))
+    parts = F.broadcast(spark.createDataFrame(
+        [(r.cell, -(-r.xs // most), -(-r.qs // most)) for r in counts], "cell int, x_parts int, q_parts int"))
     shuffled = F.xxhash64("id")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     left = (
@@ -227,7 +254,7 @@ def _blocked(routed: DataFrame, q: DataFrame, x: DataFrame, k: int, metric: str)
         x.join(parts, "cell").withColumn("x_part", F.pmod(shuffled, F.col("x_parts")).cast("int"))
         .select("cell", every("q_parts").alias("q_part"), "x_part", "id", "v")
     )
-    best_k, matrix = _best_k(), _matrix()
+    best_of_blocks, matrix = _best_of_blocks(), _matrix()
 
     def pair(q, b):
         import pyarrow as pa
@@ -236,7 +263,7 @@ def _blocked(routed: DataFrame, q: DataFrame, x: DataFrame, k: int, metric: str)
         b_ids, b_mat = matrix(b, None)
         hit = ([], [], [])
         if len(q_ids) and len(b_ids):
-            hit = best_k(q_mat, q_ids, b_mat, b_ids, k, metric)
+            hit = best_of_blocks(q_mat, q_ids, [(b_ids, b_mat)], k, metric)
         kinds = {"query_id": pa.int64(), "neighbour_id": pa.int64(), "score": pa.float64()}
         return pa.table({n: pa.array(v, t) for (n, t), v in zip(kinds.items(), hit)})
 
@@ -311,9 +338,9 @@ def knn(
             return _merge(q.sparkSession.createDataFrame([], HITS), k)
         x = _cells(x, pivots, metric)
         routed = materialize(_exact_routes(q, x, pivots, want, metric), "routes")
-        if routed.count() > q.count() * -(-x.count() // BLOCK_BASE):
+        if routed.count() > q.count() * -(-x.count() // max(BLOCK_QUERY, BLOCK_BYTES // (8 * pivots.shape[1]))):
             routed, x = (df.withColumn("cell", F.lit(0)) for df in (routed.select("id").distinct(), x))
-        hits = _blocked(routed, q, x.drop("dist"), want, metric)
+        hits = _blocked(routed, q, x.drop("dist"), want, metric, pivots.shape[1])
     if exclude_self:
         hits = hits.filter("query_id <> neighbour_id")
     return _merge(hits, k)
@@ -356,7 +383,7 @@ def ann(
                     [pa.array(np.repeat(ids[part], n)), pa.array(nearest.astype(np.int32))], names=["id", "cell"])
 
     routed = materialize(q.mapInArrow(route, ROUTES), "routes")
-    hits = _blocked(routed, q, x.drop("dist"), k + 1 if exclude_self else k, metric)
+    hits = _blocked(routed, q, x.drop("dist"), k + 1 if exclude_self else k, metric, pivots.shape[1])
     if exclude_self:
         hits = hits.filter("query_id <> neighbour_id")
     return _merge(hits, k)
