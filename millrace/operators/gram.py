@@ -18,6 +18,8 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.session import materialize
+
 #: Columns of a block, rows of a tile's strip, bytes of tiles in a task, strips added at a time.
 TILE, STRIP, TASK_BYTES, AT_ONCE = 256, 32, 256 << 20, 64
 MATRICES = 6
@@ -150,8 +152,12 @@ def _correlated(members: dict[int, list[int]], absolute: bool):
 
 def corr_tiled(df: DataFrame, cols: list[str], absolute: bool = False, tile: int = TILE, strip: int = STRIP, task_bytes: int = TASK_BYTES) -> DataFrame:
     """Pearson r of every column pair in long form, as ``profile.corr_matrix`` gives it, for any number of columns."""
-    scale = moments(df, cols)
+    if not cols:
+        return df.sparkSession.createDataFrame([], "col_i string, col_j string, r double")
     numbers = range(len(cols))
+    # Stored, so that moments and passes do not make the rows anew; a pass reads its own columns only.
+    df = materialize(df.select(*[F.col(f"`{c}`").cast("double").alias(str(i)) for i, c in enumerate(cols)]), "columns")
+    scale = moments(df, df.columns)
     known = {b: [i for i in numbers[at : at + tile]] for b, at in enumerate(range(0, len(cols), tile))}
     width = F.lit(None).cast("double")
     waves = _waves(len(known), max(1, task_bytes // (8 * MATRICES * tile * tile)))
@@ -159,12 +165,10 @@ def corr_tiled(df: DataFrame, cols: list[str], absolute: bool = False, tile: int
     for pairs in waves:
         blocks = sorted({b for pair in pairs for b in pair})
         scaled = df.select(*[
-            ((F.nanvl(F.col(f"`{cols[i]}`").cast("double"), width) - scale[i][0]) / scale[i][1]).alias(str(i)) for b in blocks for i in known[b]])
+            ((F.nanvl(F.col(str(i)), width) - scale[i][0]) / scale[i][1]).alias(str(i)) for b in blocks for i in known[b]])
         members = {b: [str(i) for i in known[b]] for b in blocks}
         made = scaled.mapInArrow(_tiles(pairs, members, strip), "i int, j int, at int, sums binary")
         out = made if out is None else out.unionByName(made)
-    if out is None:
-        return df.sparkSession.createDataFrame([], "col_i string, col_j string, r double")
     steps = max(1, math.ceil(df.rdd.getNumPartitions() / AT_ONCE))
     schema, key = "i int, j int, at int, sums binary", ["i", "j", "at"]
     salted = out.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(steps)))
