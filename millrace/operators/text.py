@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,6 +45,15 @@ def _once(fn: Callable, kind: T.DataType):
     return F.pandas_udf(fn, kind).asNondeterministic()
 
 
+# Rows of an Arrow batch that are held as Python objects or in double at a time.
+AT_ONCE = 256
+
+
+def _once_arrow(fn: Callable, kind: T.DataType):
+    """:func:`_once` for a function over Arrow arrays, whose rows never become pandas objects."""
+    return F.arrow_udf(fn, kind).asNondeterministic()
+
+
 def chunk_sentences(
     df: DataFrame, text: str, size: int = 500, overlap: int = 50, min_chars: int = 100, out: str = "content",
 ) -> DataFrame:
@@ -55,7 +65,9 @@ def chunk_sentences(
     only the packing of one document's sentences is Python.
     """
 
-    def pack(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    step = AT_ONCE
+
+    def pack(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         def one(body: str) -> list[str]:
             pieces = []
             for sentence in re.split(r"(?<=[.!?])\s+", body):
@@ -77,11 +89,13 @@ def chunk_sentences(
                 chunks.append(current)
             return [" ".join(w for s in c for w in s) for c in chunks]
 
+        kind = pa.list_(pa.string())
         for bodies in batches:
-            yield pd.Series([
-                [c for c in one(b) if len(c) > min_chars] if b else [] for b in bodies])
+            parts = (bodies.slice(at, step).to_pylist() for at in range(0, len(bodies), step))
+            made = [pa.array([[c for c in one(b) if len(c) > min_chars] if b else [] for b in part], kind) for part in parts]
+            yield pa.concat_arrays(made) if made else pa.array([], kind)
 
-    pack_udf = _once(pack, T.ArrayType(T.StringType()))
+    pack_udf = _once_arrow(pack, T.ArrayType(T.StringType()))
     keep = [c for c in df.columns if c != text]
     return (
         df.withColumn("_chunks", pack_udf(clean_text(F.col(text))))
@@ -120,20 +134,22 @@ def embed(df: DataFrame, text: str, dim: int = 1024, fn: Callable | None = None,
         call_udf = _once(call, T.ArrayType(T.FloatType()))
         return df.withColumn(out, call_udf(F.col(text)))
 
-    def add_up(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    step = AT_ONCE
+
+    def add_up(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for hashes in batches:
-            rows = []
-            for h in hashes:
-                v = np.zeros(dim)
-                if h is not None and len(h):
-                    h = np.asarray(h, dtype=np.int64)
-                    v = np.bincount(h % dim, weights=1.0 - 2.0 * ((h // dim) % 2), minlength=dim)
-                    norm = np.sqrt((v * v).sum())
-                    v = v / norm if norm > 0 else v
-                rows.append(v.astype(np.float32))
-            yield pd.Series(rows)
-
-    add_udf = _once(add_up, T.ArrayType(T.FloatType()))
+            vectors = np.zeros((len(hashes), dim), np.float32)
+            for at in range(0, len(hashes), step):
+                part = hashes.slice(at, step)
+                lengths = part.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+                h, rows = part.flatten().to_numpy(zero_copy_only=False), np.repeat(np.arange(len(part)), lengths)
+                v = np.bincount(rows * dim + h % dim, weights=1.0 - 2.0 * ((h // dim) % 2), minlength=len(part) * dim).reshape(-1, dim)
+                norm = np.sqrt((v * v).sum(1))
+                vectors[at : at + step] = v / np.where(norm > 0, norm, 1.0)[:, None]
+            offsets = pa.array(np.arange(len(hashes) + 1, dtype=np.int32) * dim)
+            yield pa.ListArray.from_arrays(offsets, pa.array(vectors.ravel()))
+
+    add_udf = _once_arrow(add_up, T.ArrayType(T.FloatType()))
     return df.withColumn(out, add_udf(F.transform(tokens(F.lower(F.col(text))), lambda t: hash32(t))))
 
 
