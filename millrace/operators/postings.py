@@ -22,6 +22,8 @@ from millrace.session import materialize
 #: Parts by hash of the term; the lengths have a part of their own. Pieces that a part is written in.
 PARTS, PIECES = 32, 8
 LENGTHS = -1
+#: Documents whose words are held at a time.
+AT_ONCE = 256
 TOTALS = "term string, df long, words long, batch int"
 
 
@@ -31,13 +33,14 @@ def _part(term: Column) -> Column:
 
 def _counted(kind: str):
     """Rows of one document: each term with its count, and its length under the null term."""
+    step = AT_ONCE
 
     def run(batches: Iterator) -> Iterator:
         from collections import Counter
 
         import pyarrow as pa
 
-        for batch in batches:
+        for batch in (whole.slice(at, step) for whole in batches for at in range(0, whole.num_rows, step)):
             rows, terms, counts = [], [], []
             for row, words in enumerate(batch.column(1).to_pylist()):
                 found = Counter(words or ())
