@@ -45,8 +45,8 @@ def _once(fn: Callable, kind: T.DataType):
     return F.pandas_udf(fn, kind).asNondeterministic()
 
 
-# Rows of an Arrow batch that are held as Python objects or in double at a time.
-AT_ONCE = 256
+# Rows of an Arrow batch that are held as Python objects or in double at a time, and bytes of results that are given back at a time.
+AT_ONCE, OUT_BYTES = 256, 4 << 20
 
 
 def _once_arrow(fn: Callable, kind: T.DataType):
@@ -108,7 +108,7 @@ def embed(df: DataFrame, text: str, dim: int = 1024, fn: Callable | None = None,
 
     By default every lower-cased token adds ±1 at its md5-hashed position and
     the sum is scaled to length 1; hashing runs in the JVM, adding up runs per
-    Arrow batch. ``fn`` (list of texts → list of vectors) is called per batch
+    Arrow batch. Of a hash only what gives position and sign is sent to Python. ``fn`` (list of texts → list of vectors) is called per batch
     instead; when it fails, the texts are tried one by one and those that fail
     get the zero vector, which :func:`embedding_failed` tells from blank texts.
     """
@@ -134,10 +134,10 @@ def embed(df: DataFrame, text: str, dim: int = 1024, fn: Callable | None = None,
         call_udf = _once(call, T.ArrayType(T.FloatType()))
         return df.withColumn(out, call_udf(F.col(text)))
 
-    step = AT_ONCE
+    step, most = AT_ONCE, max(AT_ONCE, OUT_BYTES // (4 * dim))
 
     def add_up(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for hashes in batches:
+        for hashes in (whole.slice(at, most) for whole in batches for at in range(0, max(1, len(whole)), most)):
             vectors = np.zeros((len(hashes), dim), np.float32)
             for at in range(0, len(hashes), step):
                 part = hashes.slice(at, step)
@@ -150,7 +150,8 @@ def embed(df: DataFrame, text: str, dim: int = 1024, fn: Callable | None = None,
             yield pa.ListArray.from_arrays(offsets, pa.array(vectors.ravel()))
 
     add_udf = _once_arrow(add_up, T.ArrayType(T.FloatType()))
-    return df.withColumn(out, add_udf(F.transform(tokens(F.lower(F.col(text))), lambda t: hash32(t))))
+    kind = "smallint" if 2 * dim <= 1 << 15 else "bigint"
+    return df.withColumn(out, add_udf(F.transform(tokens(F.lower(F.col(text))), lambda t: (hash32(t) % (2 * dim)).cast(kind))))
 
 
 def embedding_failed(text: str, vector: str) -> Column:

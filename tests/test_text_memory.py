@@ -51,3 +51,28 @@ def test_postings_of_a_large_batch():
     out = list(run(iter([batch])))
     assert max(b.num_rows for b in out) <= 256 * 3 and sum(b.num_rows for b in out) == 3_000
     assert out[0].slice(0, 3).to_pylist() == [{"key": 0, "term": None, "tf": 3}, {"key": 0, "term": "a", "tf": 2}, {"key": 0, "term": "b", "tf": 1}]
+
+
+def test_few_bytes_of_a_text_are_sent_and_held(spark, monkeypatch):
+    df, sent = spark.createDataFrame([("Some words, some more",)], "text string"), []
+    with monkeypatch.context() as m:
+        m.setattr(X, "_once_arrow", lambda fn, kind: lambda c: sent.append(df.select(c.alias("h"))) or F.lit(None).cast(kind))
+        X.embed(df, "text", 1024)
+    # Two bytes a word; the hash itself has eight.
+    assert sent[0].dtypes == [("h", "array<smallint>")]
+    fn = taken(monkeypatch, lambda: X.embed(df, "text", 1024))
+    batch = pa.array([[i % 2048] * (i % 3) for i in range(10_000)], pa.list_(pa.int16()))
+    rows, tops = 0, []
+    tracemalloc.start()
+    for out in fn(iter([batch, batch.slice(0, 0)])):
+        rows += len(out)
+        tops += [np.abs(out.slice(i, 1).flatten().to_numpy()).argmax() for i in range(0, len(out), 1000)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # All vectors of the batch are 41 MB.
+    assert rows == 10_000 and peak < 20e6
+    whole = np.concatenate([o.flatten().to_numpy() for o in fn(iter([batch]))]).reshape(-1, 1024)
+    at = np.arange(10_000)
+    assert np.array_equal(whole.any(1), at % 3 > 0)
+    full = at[at % 3 > 0]
+    assert np.array_equal(whole[full, full % 1024], np.where(full % 2048 < 1024, 1.0, -1.0))
