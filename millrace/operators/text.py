@@ -65,7 +65,7 @@ def chunk_sentences(
     only the packing of one document's sentences is Python.
     """
 
-    step = AT_ONCE
+    step, most = AT_ONCE, OUT_BYTES
 
     def pack(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         def one(body: str) -> list[str]:
@@ -91,9 +91,13 @@ def chunk_sentences(
 
         kind = pa.list_(pa.string())
         for bodies in batches:
-            parts = (bodies.slice(at, step).to_pylist() for at in range(0, len(bodies), step))
-            made = [pa.array([[c for c in one(b) if len(c) > min_chars] if b else [] for b in part], kind) for part in parts]
-            yield pa.concat_arrays(made) if made else pa.array([], kind)
+            made = []
+            for at in range(0, max(1, len(bodies)), step):
+                part = bodies.slice(at, step).to_pylist()
+                made.append(pa.array([[c for c in one(b) if len(c) > min_chars] if b else [] for b in part], kind))
+                if at + step >= len(bodies) or sum(m.nbytes for m in made) >= most:
+                    yield pa.concat_arrays(made)
+                    made = []
 
     pack_udf = _once_arrow(pack, T.ArrayType(T.StringType()))
     keep = [c for c in df.columns if c != text]

@@ -76,3 +76,14 @@ def test_few_bytes_of_a_text_are_sent_and_held(spark, monkeypatch):
     assert np.array_equal(whole.any(1), at % 3 > 0)
     full = at[at % 3 > 0]
     assert np.array_equal(whole[full, full % 1024], np.where(full % 2048 < 1024, 1.0, -1.0))
+
+
+def test_sentences_of_a_batch_of_long_texts(spark, monkeypatch):
+    df = spark.createDataFrame([("a",)], "text string")
+    fn = taken(monkeypatch, lambda: X.chunk_sentences(df, "text", size=200, overlap=5, min_chars=1))
+    texts, rows = pa.array([f"Number {i} is here. " * 2_000 for i in range(1_000)]), 0
+    for out in fn(iter([texts])):
+        # One batch gave all of its chunks, over 40 MB, at once.
+        assert out.nbytes < 16e6 and out[0][0].as_py().startswith(f"Number {rows} ")
+        rows += len(out)
+    assert rows == 1_000
