@@ -17,3 +17,13 @@ def test_a_large_partition_is_spread(spark, monkeypatch):
         assert data.rdd.getNumPartitions() == 4 * cores
     with M.cached(spark.range(0)) as data:
         assert data.count() == 0
+
+
+def test_nothing_is_kept_before_it_is_spread(spark, monkeypatch):
+    monkeypatch.setattr(M, "PARTITION_ROWS", 1000)
+    kept, persist = [], type(spark.range(0)).persist
+    monkeypatch.setattr(type(spark.range(0)), "persist", lambda df, *a: kept.append(df) or persist(df, *a))
+    with M.cached(spark.range(20_000, numPartitions=1)) as data:
+        assert data.count() == 20_000
+    sizes = [r["count"] for df in kept for r in df.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 20_000 and max(sizes) <= 1000
